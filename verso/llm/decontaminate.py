@@ -55,7 +55,8 @@ def with_hits(docs: DataFrame, grams: DataFrame, n: int = 10, max_grams: int = 1
 
     Rows keep their columns and partitions unless the benchmark has over max_grams distinct windows.
     """
-    tokens = docs.withColumn("__w", words(F.col("text")))
+    # a generator, as a filter on what follows would otherwise repeat the tokenising in each of its terms
+    tokens = docs.withColumn("__w", F.explode(F.array(words(F.col("text")))))
     few = grams.select("gram", "size", "anchor").limit(max_grams + 1).collect()
     if not few:
         none = F.array().cast("array<struct<start:int,size:int,gram:string>>")
@@ -77,7 +78,7 @@ def with_hits(docs: DataFrame, grams: DataFrame, n: int = 10, max_grams: int = 1
 
 def _shuffled(docs: DataFrame, grams: DataFrame, n: int) -> DataFrame:
     """with_hits by a shuffle join of all windows; for benchmarks that are too large to broadcast."""
-    rows = docs.withColumn("__row", F.monotonically_increasing_id()).withColumn("__w", words(F.col("text")))
+    rows = docs.withColumn("__row", F.monotonically_increasing_id()).withColumn("__w", F.explode(F.array(words(F.col("text")))))
     sizes = F.array(*(F.lit(k) for k in range(1, n + 1)))
     short = grams.where(F.col("size") < n).select("size").distinct().agg(F.coalesce(F.array_append(F.collect_list("size"), n), sizes)).first()[0]
     each = rows.select("__row", "__w", F.explode(F.array(*(F.lit(k) for k in sorted(short)))).alias("size")).where(F.size("__w") >= F.col("size"))
