@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, positions, rank
+from .shared import positions, rank
 
 SHARDS, BUNDLES, LARGE = 24, 4096, 64
 
@@ -133,13 +133,14 @@ def packed(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES, large:
     empty; an empty table gives no rows.
     """
     text = F.coalesce("text", F.lit(""))
-    thin = cut(docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("__group")))
-    whole = thin.agg(F.sum("size")).first()[0] or 0
-    sums = cut(thin.groupBy("__group").agg(F.sum("size").alias("s")))
+    size = (F.octet_length(text) + 8).cast("long")
+    thin = docs.select("doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("__group"))
+    whole = docs.agg(F.sum(size)).first()[0] or 0
     bundle = F.pmod("__group", F.lit(bundles)).cast("long")
-    alone = sums.where(F.col("s") * shards * large > whole)  # fewer than shards * large
-    rest = sums.where(F.col("s") * shards * large <= whole).groupBy(bundle.alias("b")).agg(F.sum("s").alias("s"))
-    items = [(-r["s"], 0, r["__group"]) for r in alone.collect()] + [(-r["s"], 1, r["b"]) for r in rest.collect()]
+    sums = thin.groupBy("__group").agg(F.sum("size").alias("s"))
+    shared = F.col("s") * shards * large <= whole  # fewer than shards * large groups are not
+    parts = sums.groupBy(shared.alias("shared"), F.when(shared, bundle).otherwise(F.col("__group")).alias("key")).agg(F.sum("s").alias("s"))
+    items = [(-r["s"], int(r["shared"]), r["key"]) for r in parts.collect()]
     items.sort()
     bins = even_bins([-s for s, _, _ in items], shards)
     of = {item[1:]: b for item, b in zip(items, bins, strict=True)}
