@@ -25,7 +25,8 @@ def op3_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = source_mix.copies(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    sizes = table(spark, sf_dir, "documents").select("doc_id", "source", source_mix.words_in(F.col("text")).alias("n"))
+    rows = source_mix.copies(sizes, F.col("n"))
     return rows.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__copies") * F.col("__size")).alias("taken"))
 
 

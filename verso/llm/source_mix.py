@@ -50,14 +50,14 @@ def offset(seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed), name)), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
 
 
-def copies(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+def copies(docs: DataFrame, size: Column | None = None, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """docs with __size, __source_size, __target and __copies, how often the mix takes the row.
 
-    docs needs doc_id, text and source. Null text has no words. Null is a source of its own, the
+    docs needs doc_id, source and text, or what size, its number of words, is made of. Null text has no words. Null is a source of its own, the
     last. A source without words has target 0 and no copies. Rows equal in source, size and
     doc_id may swap their copies. An empty table gives no rows.
     """
-    rows, parts = positions(docs.withColumn("__size", words_in(F.col("text"))).withColumnRenamed("source", "__source"), "__source", ["__size", "doc_id"])
+    rows, parts = positions(docs.withColumn("__size", words_in(F.col("text")) if size is None else size).withColumnRenamed("source", "__source"), "__source", ["__size", "doc_id"])
     sizes = rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"))
     own = targets(sizes, weights, share, most).withColumn("u", offset(seed))
     at = parts.join(own, F.col("__source").eqNullSafe(F.col("source"))).select(F.col("__source").alias("__s"), F.col("__part").alias("__p"), "__lo", "__before", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("u").alias("__u"))
