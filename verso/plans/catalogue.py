@@ -92,7 +92,7 @@ def padded_path(t: Tables) -> DataFrame:
     u AS (SELECT *, (x1 - x0) / (n + (len(w) - 1) * 0.4::DOUBLE) AS unit, coalesce(list_sum(list_transform(w[1:i], lambda v: length(v))), 0) + i * 0.4::DOUBLE AS b FROM e)
     SELECT page_num, line_idx, i::INT AS i, text, round_even(x0 + b * unit, 0)::INT AS x0, round_even(x0 + (b + length(text)) * unit, 0)::INT AS x1 FROM u""")
 def proportional_bbox(t: Tables) -> DataFrame:
-    lines = search.line_texts(t.words).join(whitespace.line_extents(t.words), ["page_num", "line_idx"])
+    lines = search.line_texts(t.words).join(whitespace.line_extents(t.boxes), ["page_num", "line_idx"])
     return lines.select("page_num", "line_idx", F.posexplode(tokens.shares(F.col("texts"), F.col("x0"), F.col("x1"))).alias("i", "s")).select("page_num", "line_idx", "i", "s.*")
 
 
@@ -240,7 +240,7 @@ _LINE_DOCKS = "ld AS (SELECT words.id, words.page_num, words.text, words.line_id
 
 @query(f"WITH {_LINE_DOCKS} SELECT id, text, dock_above FROM ld WHERE dock_above IS NOT NULL")
 def docks_inner(t: Tables) -> DataFrame:
-    d = whitespace.dock_lines(t.words, t.gutters).where("dock_above is not null").select("id", "dock_above")
+    d = whitespace.dock_lines(t.boxes, t.gutters).where("dock_above is not null").select("id", "dock_above")
     return d.join(t.words.select("id", "text"), "id")
 
 
@@ -256,8 +256,8 @@ def bbox_violations(t: Tables) -> DataFrame:
 
 @query("SELECT DISTINCT page_num FROM words w WHERE NOT EXISTS (SELECT 1 FROM words v JOIN hg ON hg.page_num = v.page_num AND hg.line_idx_b = v.line_idx WHERE v.page_num = w.page_num AND hg.gutter_id > 20)")
 def not_exists_docks(t: Tables) -> DataFrame:
-    d = whitespace.dock_lines(t.words, t.gutters).where("dock_above > 20").withColumnRenamed("id", "word_id")
-    return quality.dockless(t.words, d)
+    d = whitespace.dock_lines(t.boxes, t.gutters).where("dock_above > 20").withColumnRenamed("id", "word_id")
+    return quality.dockless(t.boxes, d)
 
 
 @query("SELECT page_num FROM corr LEFT JOIN (SELECT DISTINCT page_num FROM hg WHERE gutter_id > 5) g USING (page_num) WHERE g.page_num IS NULL")
@@ -267,13 +267,13 @@ def graphless_pages(t: Tables) -> DataFrame:
 
 @query(f"WITH {_LINE_DOCKS} SELECT id, dock_above, dock_below FROM ld WHERE id NOT IN (SELECT id FROM words WHERE page_num % 2 = 0)")
 def semi_delete(t: Tables) -> DataFrame:
-    d = whitespace.dock_lines(t.words, t.gutters)
+    d = whitespace.dock_lines(t.boxes, t.gutters)
     return export.without_pages(d, t.words.where("page_num % 2 = 0"), "id")
 
 
 @query(f"WITH {_LINE_DOCKS} SELECT id, dock_above, dock_below FROM ld")
 def dock_above_below(t: Tables) -> DataFrame:
-    return whitespace.dock_lines(t.words, t.gutters)
+    return whitespace.dock_lines(t.boxes, t.gutters)
 
 
 _NEAR = """
@@ -283,7 +283,7 @@ _NEAR = """
 
 @query(f"WITH {_NEAR} SELECT id, dock_left, dock_right FROM ns")
 def nearest_slits(t: Tables) -> DataFrame:
-    return whitespace.nearest_slits(t.words, t.slits)
+    return whitespace.nearest_slits(t.boxes, t.slits)
 
 
 _AIR = """
@@ -297,7 +297,7 @@ _AIR = """
 
 @query(f'WITH {_AIR.replace(" AS left", " AS lft").replace(" AS right", " AS rgt")} SELECT page_num, id, top, bottom, lft AS "left", rgt AS "right" FROM air')
 def breathing(t: Tables) -> DataFrame:
-    return whitespace.breathing(t.words, t.bodies)
+    return whitespace.breathing(t.boxes, t.bodies)
 
 
 _RIVER = """
@@ -349,7 +349,7 @@ def slack_direction(t: Tables) -> DataFrame:
 def _port_pairs(t: Tables) -> DataFrame:
     """Each word with the one three further on in its page."""
     centre = F.struct(((F.col("bbox_x0") + F.col("bbox_x1")) / 2).alias("x"), ((F.col("bbox_y0") + F.col("bbox_y1")) / 2).alias("y"))
-    d = t.docks.select("page_num", "word_id", "ports").join(t.words.select(F.col("id").alias("word_id"), centre.alias("c")), "word_id")
+    d = t.docks.select("page_num", "word_id", "ports").join(t.boxes.select(F.col("id").alias("word_id"), centre.alias("c")), "word_id")
     b = d.select("page_num", (F.col("word_id") - 3).alias("word_id"), F.col("word_id").alias("b"), F.col("c.x").alias("bx"), F.col("c.y").alias("by"), F.col("ports").alias("b_ports"))
     return d.join(b, ["page_num", "word_id"]).select("page_num", F.col("word_id").alias("a"), "b", F.col("c.x").alias("ax"), F.col("c.y").alias("ay"), "bx", "by", F.col("ports").alias("a_ports"), "b_ports")
 
@@ -419,7 +419,7 @@ def median_width(t: Tables) -> DataFrame:
 
 @query("SELECT page_num, list_sort(list(y1 - y0))[len(list(y1 - y0)) // 2 + 1] AS height FROM ln GROUP BY page_num")
 def upper_median_height(t: Tables) -> DataFrame:
-    return whitespace.line_extents(t.words).groupBy("page_num").agg(ordered.upper_median(F.collect_list(F.col("y1") - F.col("y0"))).alias("height"))
+    return whitespace.line_extents(t.boxes).groupBy("page_num").agg(ordered.upper_median(F.collect_list(F.col("y1") - F.col("y0"))).alias("height"))
 
 
 @query(f"""
@@ -489,7 +489,7 @@ def ink_segments(t: Tables) -> DataFrame:
     p AS (SELECT page_num, list_sort(list(gap))[len(list(gap)) // 2 + 1] AS pitch FROM d WHERE gap > 10 AND gap < 200 GROUP BY page_num HAVING count(*) >= 5)
     SELECT page_num, line_idx, gap, pitch FROM d JOIN p USING (page_num) WHERE gap > 1.7::DOUBLE * pitch AND gap < 8 * pitch""")
 def line_gaps(t: Tables) -> DataFrame:
-    lines = whitespace.line_extents(t.words).where("(page_num + line_idx) % 9 <> 0").select("page_num", "line_idx", ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
+    lines = whitespace.line_extents(t.boxes).where("(page_num + line_idx) % 9 <> 0").select("page_num", "line_idx", ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
     return ordered.line_gaps(lines)
 
 
@@ -517,7 +517,7 @@ def box_smooth_closed(t: Tables) -> DataFrame:
 def _loops(t: Tables) -> DataFrame:
     """For each page, the right ends of its lines as points."""
     ends = F.sort_array(F.collect_list(F.struct("line_idx", F.col("x1").cast("double").alias("x"), F.col("y1").cast("double").alias("y"))))
-    return whitespace.line_extents(t.words).groupBy("page_num").agg(F.transform(ends, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("p"))
+    return whitespace.line_extents(t.boxes).groupBy("page_num").agg(F.transform(ends, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("p"))
 
 
 @query("SELECT id, coalesce(sum(pen) OVER (PARTITION BY page_num, line_idx ORDER BY bbox_x0, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS penalty FROM (SELECT *, 1.5::DOUBLE * greatest(0, coalesce(lead(bbox_x0) OVER (PARTITION BY page_num, line_idx ORDER BY bbox_x0, id), bbox_x1) - bbox_x1 - 4) AS pen FROM words)")
@@ -677,7 +677,7 @@ def river_between(t: Tables) -> DataFrame:
 @query()
 def flow_walk(t: Tables) -> DataFrame:
     """On each page a walk from the first line's end to the last one's, around the words of ten letters or more."""
-    ends = whitespace.line_extents(t.words).groupBy("page_num").agg(F.min_by(F.struct("x1", "y0"), "line_idx").alias("a"), F.max_by(F.struct("x1", "y1"), "line_idx").alias("b"))
+    ends = whitespace.line_extents(t.boxes).groupBy("page_num").agg(F.min_by(F.struct("x1", "y0"), "line_idx").alias("a"), F.max_by(F.struct("x1", "y1"), "line_idx").alias("b"))
     walls = t.words.where(F.char_length("text") >= 10).groupBy("page_num").agg(F.collect_list(F.struct("bbox_x0", "bbox_y0", "bbox_x1", "bbox_y1")).alias("walls"))
     own = ends.join(t.bodies, "page_num").join(walls, "page_num", "left").select("page_num", "a", "b", "x0", "y0", "x1", "y1", "walls")
 
@@ -731,7 +731,7 @@ def balloon(t: Tables) -> DataFrame:
     """The outline of each line, its 32 points summed up by their places."""
     loop = geometry.balloon(*(F.col(c) for c in ("x0", "y0", "x1", "y1")))
     total = lambda c: F.sum((F.col("i") + 1) * F.round(F.col("p")[c] * 1000).cast("long"))
-    return whitespace.line_extents(t.words).select("page_num", "line_idx", F.posexplode(loop).alias("i", "p")).groupBy("page_num", "line_idx").agg(total("x").alias("xs"), total("y").alias("ys"))
+    return whitespace.line_extents(t.boxes).select("page_num", "line_idx", F.posexplode(loop).alias("i", "p")).groupBy("page_num", "line_idx").agg(total("x").alias("xs"), total("y").alias("ys"))
 
 
 _SPLINE = lambda c: f"round(0.5::DOUBLE * (2 * b.{c} + (d.{c} - a.{c}) * t * 0.5::DOUBLE + (2 * a.{c} - 5 * b.{c} + 4 * d.{c} - e.{c}) * (t * t) + (3 * b.{c} - a.{c} - 3 * d.{c} + e.{c}) * (t * t * t)), 4) AS {c}"
@@ -798,7 +798,7 @@ def polygon_area(t: Tables) -> DataFrame:
 
 
 def _line_boxes(t: Tables) -> DataFrame:
-    return whitespace.line_extents(t.words).select("page_num", "line_idx", "x0", "y0", "x1", "y1")
+    return whitespace.line_extents(t.boxes).select("page_num", "line_idx", "x0", "y0", "x1", "y1")
 
 
 @query()

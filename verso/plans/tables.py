@@ -1,4 +1,7 @@
-"""The tables of a typeset corpus, built when they are first asked for."""
+"""The tables of a typeset corpus, built when they are first asked for.
+
+Tables that later ones use several times are kept, so that texts are not set again for each use.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..keep import keep
 from ..operators import chunks, graph, whitespace
 from ..sources import typeset
 
@@ -30,6 +34,11 @@ class Tables:
     def words(self) -> DataFrame:
         return typeset.words(self.documents)
 
+    @cached_property
+    def boxes(self) -> DataFrame:
+        """words without their affixes, kept."""
+        return keep(self.words.select("id", "page_num", "line_idx", "bbox_x0", "bbox_y0", "bbox_x1", "bbox_y1"))
+
     @cached_property
     def feat(self) -> DataFrame:
         return typeset.features(self.words)
@@ -52,27 +61,27 @@ class Tables:
 
     @cached_property
     def bodies(self) -> DataFrame:
-        return typeset.bodies(self.words)
+        return typeset.bodies(self.boxes)
 
     @cached_property
     def gutters(self) -> DataFrame:
-        return whitespace.h_gutters(self.words, self.bodies)
+        return keep(whitespace.h_gutters(self.boxes, self.bodies))
 
     @cached_property
     def slits(self) -> DataFrame:
-        return whitespace.v_slits(self.words, self.bodies, self.gutters)
+        return keep(whitespace.v_slits(self.boxes, self.bodies, self.gutters))
 
     @cached_property
     def rivers(self) -> DataFrame:
-        return whitespace.river_scores(self.slits)
+        return keep(whitespace.river_scores(self.slits))
 
     @cached_property
     def docks(self) -> DataFrame:
-        return whitespace.docks(self.words, self.bodies, self.gutters, self.slits)
+        return keep(whitespace.docks(self.boxes, self.bodies, self.gutters, self.slits))
 
     @cached_property
     def nodes(self) -> DataFrame:
-        return graph.nodes(self.gutters, self.slits, self.docks)
+        return keep(graph.nodes(self.gutters, self.slits, self.docks))
 
     @cached_property
     def edges(self) -> DataFrame:
