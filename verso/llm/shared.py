@@ -32,6 +32,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_thin(df: DataFrame, rows: int) -> DataFrame:
+    """cut for about so many narrow rows, in no more parts than these need; the number of parts grows with them."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(df.coalesce(min(n, 8 + rows // 100_000)))
+
+
 @contextmanager
 def written(df: DataFrame, codec: str = "zstd") -> Iterator[DataFrame]:
     """A Parquet copy of df in the shared folder for the length of a with-block.
@@ -90,11 +96,12 @@ def components(edges: DataFrame) -> DataFrame:
     seen = mark(edges)
     while seen[0]:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # kept, so that the join with a hub's rows has an exchange of its own, whose partitions Spark can split
+        least = cut_thin(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), seen[0])
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = cut_thin(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), seen[0])
         now = mark(edges)
         if now == seen:
             break
