@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, cut, written
+from .shared import components, cut, cut_thin, written
 from .words import Words, mix, scan_all, utf8
 
 HASHES, ROWS, STEP = 96, 4, 16
@@ -222,12 +222,14 @@ def similar_groups(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, to
     rows = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("rid"), "text")
     schema = f"doc_id {dict(rows.dtypes)['doc_id']}, rid long, key long, size long, bands array<long>"
     with written(rows.mapInArrow(describe(shingle), schema)) as seen:
-        classes = cut(seen.groupBy("key").agg(F.count("*").alias("copies"), F.min("rid").alias("rid"), F.min("doc_id").alias("first_id"), F.max("size").alias("size")))
+        n_docs = seen.count()
+        classes = cut_thin(seen.groupBy("key").agg(F.count("*").alias("copies"), F.min("rid").alias("rid"), F.min("doc_id").alias("first_id"), F.max("size").alias("size")), n_docs)
         banded = seen.select(F.col("key").alias("node"), F.explode("bands").alias("band")).distinct()
         buckets = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub < far").select("band", "hub")
         candidate = components(banded.join(buckets, "band").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct())
         members = candidate.join(classes.withColumnRenamed("key", "node"), "node")
-        sizes = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        # kept, here and below, so that joins with a large component's rows have exchanges of their own, which Spark can split
+        sizes = cut_thin(members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks")), n_docs)
         members = members.join(sizes, "root").select("rid", "node", "root", "blocks", "copies")
         texts = members.join(rows.select("rid", "text"), "rid").select("node", "root", "blocks", "copies", "text")
         full = texts.mapInArrow(with_shingles(shingle), "node long, root long, blocks int, copies long, shingles binary")
@@ -239,10 +241,10 @@ def similar_groups(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, to
         counts = linked.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
         joined = components(linked.where("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v")))
         named = classes.withColumnRenamed("key", "node").join(joined, "node", "left").join(counts, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        first = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
+        first = cut_thin(named.groupBy("root").agg(F.min("first_id").alias("class_id")), n_docs)
         named = named.join(first, "root").select(F.col("node").alias("key"), "copies", "class_id", F.coalesce("texts", F.lit(0)).alias("texts"), F.coalesce("docs", F.lit(0)).alias("docs"))
         out = seen.select("doc_id", "key", "size").join(named, "key")
-        return cut(out.select("doc_id", "class_id", F.col("copies").alias("n_copies"), (F.col("docs") + F.col("copies") - 1).alias("n_links"), F.col("texts").alias("n_linked_texts"), F.col("size").alias("n_runs")))
+        return cut_thin(out.select("doc_id", "class_id", F.col("copies").alias("n_copies"), (F.col("docs") + F.col("copies") - 1).alias("n_links"), F.col("texts").alias("n_linked_texts"), F.col("size").alias("n_runs")), n_docs)
 
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
