@@ -70,7 +70,20 @@ def copies(docs: DataFrame, size: Column | None = None, seed: str = SEED, weight
     return met.select(*named, "__size", "__source_size", "__target", crossed.cast("long").alias("__copies"))
 
 
+def _whole(docs: DataFrame) -> Column:
+    """A hash of a row's columns; maps, which have no order, are left out."""
+    return F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind))
+
+
 def mixture(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it."""
-    taken = copies(docs, **options).where(F.col("__copies") > 0)
-    return taken.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    """The rows of docs, each as often as the mix takes it.
+
+    The texts are shuffled once, by a hash of the whole row, when the copies, which are counted
+    without them, come back; rows that are equal throughout share theirs.
+    """
+    thin = docs.select("doc_id", "source", words_in(F.col("text")).alias("__n"), _whole(docs).alias("__row"))
+    taken = copies(thin, F.col("__n"), **options).groupBy(F.xxhash64("doc_id", "__row").alias("__key")).agg(F.sum("__copies").alias("__times")).where("__times > 0")
+    rows = docs.withColumn("__key", F.xxhash64("doc_id", _whole(docs))).join(taken, "__key")
+    first = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    once = rows.withColumn("__nth", first).where("__nth = 1")
+    return once.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*docs.columns)
