@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,28 +9,14 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..keep import keep as cut
+from ..keep import shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="verso-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(named)
-    return named
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and kept in the shared folder; Spark's cleaner owns the files."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def cut_thin(df: DataFrame, rows: int) -> DataFrame:
     """cut for about so many narrow rows, in no more parts than these need; the number of parts grows with them."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
