@@ -246,3 +246,34 @@ def test_checks(spark, page):
     rep = {r["name"]: r["failures"] for r in quality.report({"boxes": quality.bad_boxes(bad, pages), "orphans": quality.orphan_words(bad, pages)}).collect()}
     assert rep == {"boxes": 1, "orphans": 0}
     assert quality.edgeless(graph.adjacency(page["nodes"], page["edges"])).count() == 0
+
+
+def test_publish_and_check(spark, tmp_path):
+    from verso.__main__ import main
+    from verso.api import Book
+
+    docs = spark.createDataFrame([(1, "The old window gleamed softly. " * 30), (2, "Night fell over the quiet town. " * 9), (3, None), (4, " ")], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    assert main(["publish", str(tmp_path / "docs"), str(tmp_path / "book")]) == 0
+    book = Book.open(spark, str(tmp_path / "book"))
+    assert [r[0] for r in book.list_pages().collect()] == [100000, 200000]
+    assert book.search_pages("quiet town").first()["page_num"] == 200000
+    assert {(r["token"], r["page_num"]): r["cnt"] for r in wire.search_index(spark, str(tmp_path / "book/search-index.json")).collect()}["window", 100000] == 30
+    assert book.page(100000).graph.count() > 0
+    book.close()
+    assert main(["check", str(tmp_path / "docs"), "--pages", "100000"]) == 0
+
+
+def test_images(spark):
+    pages = spark.createDataFrame([(1, 10, 20), (2, 10, 20), (3, 10, 20)], "page_num long, width_px int, height_px int")
+    images = spark.createDataFrame([(1, 10, 20), (2, 10, 21)], "page_num long, width int, height int")
+    assert {tuple(r) for r in quality.missing_images(pages, images).collect()} == {(2, "size"), (3, "missing")}
+    files = spark.createDataFrame([("book", b"xyz" * 9)], "path string, content binary")
+    made = wire.rendered(files, lambda content, n: content[n : n + 1], [1, 2], offset=9).collect()
+    assert {(r["page_num"], bytes(r["content"])) for r in made} == {(1, b"x"), (2, b"y")}
+    rows = spark.createDataFrame([(1, y, 0, 7) for y in range(30)], "page_num long, y int, x int, value int")
+    out = raster.without_stamp(rows, spark.createDataFrame([(1, 20)], "page_num long, y0 int"), spark.createDataFrame([(1, 0.4)], "page_num long, dy double"), 30)
+    assert out.where("value = 255").agg(F.min("y")).first()[0] == 12
+    from verso.functions.columns import contain
+
+    assert tuple(pages.limit(1).select(contain(F.col("width_px"), F.col("height_px"), 100, 100).alias("c")).first()["c"]) == (50, 100, 25, 0)

@@ -75,3 +75,10 @@ def padded_path(prefix: str, n: Column, suffix: str) -> Column:
     """prefix, n with at least four digits, suffix; longer numbers are not cut."""
     s = n.cast("string")
     return F.concat(F.lit(prefix), F.when(F.length(s) < 4, F.lpad(s, 4, "0")).otherwise(s), F.lit(suffix))
+
+
+def contain(width: Column, height: Column, cell_w: int, cell_h: int) -> Column:
+    """How an image fits into a cell: struct(w, h, x, y), centred, one pixel at least."""
+    scale = F.least(cell_w / width, cell_h / height)
+    w, h = F.greatest(F.lit(1), half_even(width * scale)), F.greatest(F.lit(1), half_even(height * scale))
+    return F.struct(w.alias("w"), h.alias("h"), F.floor((cell_w - w) / 2).cast("int").alias("x"), F.floor((cell_h - h) / 2).cast("int").alias("y"))

@@ -64,6 +64,13 @@ def header_numbers(words: DataFrame) -> DataFrame:
     return top.select("page_num", (F.size(digits) > 0).alias("numbered"), F.array_contains(digits, F.col("page_num").cast("string")).alias("matched"))
 
 
+def missing_images(pages: DataFrame, images: DataFrame) -> DataFrame:
+    """Pages without an image, or whose image (page_num, width, height) has another size: (page_num, kind)."""
+    met = pages.join(images.select("page_num", "width", "height"), "page_num", "left")
+    kind = F.when(F.col("width").isNull(), "missing").when((F.col("width") != F.col("width_px")) | (F.col("height") != F.col("height_px")), "size")
+    return met.select("page_num", kind.alias("kind")).where("kind is not null")
+
+
 def report(counts: dict[str, DataFrame]) -> DataFrame:
     """(name, ok, failures) of each check, given the rows that break it."""
     out = None

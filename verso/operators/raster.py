@@ -74,6 +74,13 @@ def whitewash(pixels: DataFrame, text: DataFrame, shadows: DataFrame) -> DataFra
     return own.select("page_num", "y", "x", F.when(F.coalesce(inside, F.lit(True)) & ~dark, F.col("value")).otherwise(255).alias("value"))
 
 
+def without_stamp(pixels: DataFrame, stamps: DataFrame, offsets: DataFrame, height: int) -> DataFrame:
+    """pixels with 255 from eight rows above the page's stamp (page_num, y0), moved by its rounded dy, down to the bottom."""
+    top = stamps.join(offsets.select("page_num", "dy"), "page_num").select("page_num", (F.bround(F.col("y0") + F.col("dy")).cast("int") - 8).alias("top"))
+    own = pixels.join(top.where((F.col("top") > 0) & (F.col("top") < height)), "page_num", "left")
+    return own.withColumn("value", F.when(F.col("y") >= F.col("top"), 255).otherwise(F.col("value"))).drop("top")
+
+
 def shifted(pixels: DataFrame, dy: int, height: int) -> DataFrame:
     """The image moved down by dy; what comes in is 255."""
     return pixels.withColumn("y", F.pmod(F.col("y") + dy, F.lit(height))).withColumn("value", F.when((F.col("y") < dy) | (F.col("y") >= height + dy), 255).otherwise(F.col("value")))

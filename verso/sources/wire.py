@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,8 +59,8 @@ def catalog(spark: SparkSession, path: str) -> DataFrame:
 
 
 def search_index(spark: SparkSession, path: str) -> DataFrame:
-    """(token, page_num, cnt) of an index file {token: [[page, count], ...]}."""
-    entries = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,array<array<bigint>>>")).alias("token", "postings"))
+    """(token, page_num, cnt) of index files of maps {token: [[page, count], ...]}, one a line."""
+    entries = spark.read.text(path).select(F.explode(F.from_json("value", "map<string,array<array<bigint>>>")).alias("token", "postings"))
     return entries.select("token", F.explode("postings").alias("p")).select("token", F.col("p")[0].alias("page_num"), F.col("p")[1].alias("cnt"))
 
 
@@ -67,6 +70,22 @@ def images(spark: SparkSession, path: str, suffix: str = "jpg") -> DataFrame:
     return files.select(F.regexp_extract("path", r"p(\d+)\.[^/]*$", 1).cast("long").alias("page_num"), "path", "length", "content")
 
 
+def rendered(files: DataFrame, backend: Callable[[bytes, int], bytes], wanted: list[int], offset: int = 9) -> DataFrame:
+    """Pages of bound files (path, content) as images (path, page_num, content), made by backend(file, raster page from 0).
+
+    wanted are printed page numbers, without those that are there already (see pending); a printed
+    page is offset raster pages further on. A file is opened once for all of them.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                for n in wanted:
+                    yield pd.DataFrame({"path": [path], "page_num": [n], "content": [backend(content, n + offset - 1)]})
+
+    return files.select("path", "content").mapInPandas(run, "path string, page_num long, content binary")
+
+
 def pending(wanted: DataFrame, done: DataFrame) -> DataFrame:
     """Pages that have no output yet."""
     return wanted.join(done.select("page_num"), "page_num", "left_anti")
