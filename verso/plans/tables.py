@@ -24,7 +24,9 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self.read("documents")
+        """The texts; dealt to all cores where the files have fewer parts than there are, which large tables never do."""
+        rows, cores = self.read("documents"), self.spark.sparkContext.defaultParallelism
+        return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
     @cached_property
     def raw(self) -> DataFrame:
