@@ -671,7 +671,7 @@ def dijkstra_cost(t: Tables) -> DataFrame:
 
 @query()
 def river_between(t: Tables) -> DataFrame:
-    return graph.between(_port_pairs(t).where("b % 40 = 0"), t.nodes, t.edges).select("page_num", "a", "b", F.round("cost", 4).alias("cost"), F.size("points").alias("n_points"))
+    return graph.between(_port_pairs(t), t.nodes, t.edges).select("page_num", "a", "b", F.round("cost", 4).alias("cost"), F.size("points").alias("n_points"))
 
 
 @query()
