@@ -683,7 +683,7 @@ def flow_walk(t: Tables) -> DataFrame:
 
     def walk(row: dict) -> object:
         walls = [(w["bbox_x0"], w["bbox_y0"], w["bbox_x1"], w["bbox_y1"]) for w in (row["walls"] if row["walls"] is not None else ())]
-        return outlines.flow((row["a"]["x1"], row["a"]["y0"]), (row["b"]["x1"], row["b"]["y1"]), (row["x0"], row["y0"], row["x1"], row["y1"]), walls, seed=int(row["page_num"]) % 1000, most=60)
+        return outlines.flow((row["a"]["x1"], row["a"]["y0"]), (row["b"]["x1"], row["b"]["y1"]), (row["x0"], row["y0"], row["x1"], row["y1"]), walls, seed=int(row["page_num"]) % 1000)
 
     return outlines.drawn(own, outlines.POINTS, walk, "points").select("page_num", F.size("points").alias("n_points"))
 
