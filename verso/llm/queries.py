@@ -21,7 +21,7 @@ def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return url_aliases.verdicts(pages, url_aliases.links(pages))
+    return url_aliases.verdicts(pages, url_aliases.aliases(pages))
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,24 +56,59 @@ def rule_of(host_: Column, path_: Column, rules: tuple[Rule, ...] = RULES) -> Co
     return out
 
 
+def plain(url: Column) -> Column:
+    """A URL with https for http, its host in lower case and no fragment."""
+    whole = F.regexp_replace(url, r"(?s)#.*$", "")
+    before, after = F.regexp_extract(whole, r"(?s)^(.*?://)", 1), F.regexp_extract(whole, r"(?s)^.*?://[^/?#]*(.*)$", 1)
+    return F.when(whole.contains("://"), F.concat(F.regexp_replace(before, r"^[Hh][Tt][Tt][Pp][Ss]?://", "https://"), host(whole), after)).otherwise(whole)
+
+
+def _without_dots(path_: Column) -> Column:
+    """A path that begins with /, its . and .. segments applied."""
+    parts = F.split(path_, "/")
+    kept = lambda a, s: F.when(s == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).when(s == ".", a).otherwise(F.array_append(a, s))
+    left = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"), kept)
+    folder = F.element_at(parts, -1).isin(".", "..") & (F.size(left) > 0)
+    return F.concat(F.lit("/"), F.array_join(left, "/"), F.when(folder, "/").otherwise(""))
+
+
 def _target(page: Column, link: Column) -> Column:
-    """A link's absolute URL; null if it is empty or relative to a folder."""
+    """A link's absolute URL, found from the page's; null if it is empty or of a scheme without //."""
     link = F.trim(F.regexp_replace(link, "&amp;", "&"))
     scheme = F.regexp_extract(page, r"(?s)^(.*?)://", 1)
-    return F.when(link.contains("://"), link).when(link.startswith("//"), F.concat(scheme, F.lit(":"), link)).when(link.startswith("/"), F.concat(scheme, F.lit("://"), host(page), link))
+    top = F.concat(scheme, F.lit("://"), host(page))
+    own = F.when(path(page) == "", "/").otherwise(path(page))
+    to, rest = F.regexp_extract(link, r"(?s)^[^?#]*", 0), F.regexp_extract(link, r"(?s)[?#].*$", 0)
+    folder = F.regexp_extract(own, r"(?s)^.*/", 0)
+    return (
+        F.when(link == "", None)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
+        .when(link.startswith("/"), F.concat(top, _without_dots(to), rest))
+        .when(link.startswith("?"), F.concat(top, own, link))
+        .when(link.startswith("#"), F.concat(F.regexp_replace(page, r"(?s)#.*$", ""), link))
+        .otherwise(F.concat(top, _without_dots(F.concat(folder, to)), rest))
+    )
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """Edges (src, dst): each page's canonical link and refresh redirect, and its URL with https and without a fragment."""
+    """Edges (src, dst): each page's canonical link and refresh redirect, and its URL's plain form."""
     canonical = F.regexp_extract("html", r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
     refresh = F.regexp_extract("html", r"(?i)<meta\b[^>]*http-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
     href = F.regexp_extract(canonical, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
     to = F.regexp_extract(refresh, r"(?i)\burl\s*=\s*[\"']?([^\"'>]+)", 1)
-    plain = F.regexp_replace(F.regexp_replace("url", r"(?s)#.*$", ""), r"^[Hh][Tt][Tt][Pp]://", "https://")
-    found = pages.where(F.col("url").contains("://")).select(F.col("url").alias("src"), F.explode(F.array(_target(F.col("url"), href), _target(F.col("url"), to), plain)).alias("dst"))
+    found = pages.where(F.col("url").contains("://")).select(F.col("url").alias("src"), href.alias("href"), to.alias("to"))
+    found = found.select("src", F.explode(F.array(_target(F.col("src"), F.col("href")), _target(F.col("src"), F.col("to")), plain(F.col("src")))).alias("dst"))
     return found.where("dst is not null and dst <> '' and src <> dst")
 
 
+def aliases(pages: DataFrame) -> DataFrame:
+    """links, and an edge from each link's target to its plain form."""
+    form = F.struct(F.col("dst").alias("src"), plain(F.col("dst")).alias("dst"))
+    return links(pages).select(F.explode(F.array(F.struct("src", "dst"), form)).alias("e")).select("e.src", "e.dst").where("src <> dst")
+
+
 def verdicts(pages: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RULES, default: str = "allow") -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict.
 
