@@ -1,6 +1,6 @@
 """The corpus operators do the whole job where links, rows and runs used to be lost."""
 
-from verso.llm import url_aliases
+from verso.llm import sentence_spans, url_aliases
 
 
 def test_relative_links_and_targets_forms(spark):
@@ -29,3 +29,17 @@ def test_relative_links_and_targets_forms(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["verdict"] for r in url_aliases.verdicts(pages, url_aliases.aliases(pages)).collect()}
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block"}
+
+
+def test_spans_of_one_doc_id_with_two_texts(spark):
+    passage = " ".join(f"Run {i} of the passage has word{i} in it and more{i} here." for i in range(8))
+    clean = " ".join(f"Clean {i} is text{i} that stands here only once{i}." for i in range(9))
+    rows = [(1, passage), (2, f"{passage} Its end."), (2, clean), (2, "Short."), (3, f"First {clean}"), (4, f"Some own words. {passage}"), (4, f"Other words. {clean}"), (4, f"Other words. {clean}")]
+    got = sentence_spans.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    left = {(r["doc_id"], r["text"]) for r in got}
+    assert {(1, passage), (2, clean), (2, "Short.")} <= left
+    assert all("passage" not in t for i, t in left if i in (2, 4)) and all("Clean 4" not in t for i, t in left if i in (3, 4))
+    two = [(1, f"A start. {passage}"), (1, f"Another start. {passage}")]
+    got = sentence_spans.without_repeats(spark.createDataFrame(two, "doc_id long, text string")).collect()
+    assert sorted(r["n_words_removed"] > 0 for r in got) == [False, True]

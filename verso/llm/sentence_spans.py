@@ -20,6 +20,8 @@ from .shared import cut, written
 from .words import Words, mix, scan_all, utf8
 
 LEAST, LEAST_WORDS, LONG, REACH = 3, 20, 12, 3
+#: Ids with several texts that are sent to all tasks; more are joined by a shuffle.
+MOST_SENT = 100_000
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?\n")] = True
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -76,11 +78,11 @@ def spans(words: Words, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def each_span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (rid, text) to (h, c, rid, first): each run's hashes, and the sentence that it begins with; repeats within a text once."""
+    """Rows (rid, variant, text) to (h, c, rid, variant, first): each run's hashes, and the sentence that it begins with; repeats within a text once."""
     for batch in batches:
-        h, c, rids, firsts = [], [], [], []
+        h, c, rids, variants, firsts = [], [], [], [], []
         texts = utf8(batch.column("text"))
-        for rid, data, words in zip(batch.column("rid").to_pylist(), texts, scan_all(texts), strict=True):
+        for rid, variant, data, words in zip(batch.column("rid").to_pylist(), batch.column("variant").to_pylist(), texts, scan_all(texts), strict=True):
             begin = sentences(data, words)
             last, hash_, check = spans(words, begin)
             if len(last):
@@ -88,9 +90,10 @@ def each_span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 h.append(hash_[at])
                 c.append(check[at])
                 rids.append(np.full(len(at), rid, np.int64))
+                variants.append(np.full(len(at), variant, np.int64))
                 firsts.append(at.astype(np.int32))
         if h:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (h, c, rids, firsts)], names=["h", "c", "rid", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (h, c, rids, variants, firsts)], names=["h", "c", "rid", "variant", "first"])
 
 
 def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,17 +125,34 @@ def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, k) for x, k in zip(columns, [pa.int64()] * 4 + [pa.string()], strict=True))], names=names)
 
 
+def _rows(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """docs as (doc_id, rid, variant, text), and whether a variant is not 0: the text's hash where rows of one rid differ in text."""
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("rid"), F.xxhash64("text").alias("own"), "text")
+    several = cut(rows.groupBy("rid").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low < high").select("rid", F.lit(True).alias("several")))
+    n = several.count()
+    if not n:
+        return rows.select("doc_id", "rid", F.lit(0).cast("long").alias("variant"), "text"), False
+    met = rows.join(F.broadcast(several) if n <= MOST_SENT else several, "rid", "left")
+    return met.select("doc_id", "rid", F.when(F.col("several"), F.col("own")).otherwise(F.lit(0)).alias("variant"), "text"), True
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_sentences, n_removed, n_words, n_words_removed, text.
 
     docs needs doc_id and text; other columns are ignored. text is what is left. Of two documents
-    with a run of sentences the one with the lower doc_id keeps it, and within a document its first
-    place. Null text is empty; texts shorter than a run keep all. Rows of one doc_id don't lose
-    runs to each other; a null doc_id stands for a number made from the text. An empty table gives no rows.
+    with a run of sentences the one with the lower doc_id keeps it, of two texts of one doc_id that
+    of the lower hash, and within a document its first place. Null text is empty; texts shorter than
+    a run keep all. Equal rows don't lose runs to each other; a null doc_id stands for a number made
+    from the text. An empty table gives no rows.
     """
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("rid"), "text")
-    with written(rows.select("rid", "text").mapInArrow(each_span, "h long, c int, rid long, first int")) as found:
+    rows, several = _rows(docs)
+    with written(rows.select("rid", "variant", "text").mapInArrow(each_span, "h long, c int, rid long, variant long, first int")) as found:
         repeated = found.groupBy("h", "c").agg(F.min("rid").alias("owner"), F.max("rid").alias("other")).where("owner < other").select("h", "c", "owner")
-        marks = cut(found.join(repeated, ["h", "c"]).where("rid > owner").groupBy("rid").agg(F.sort_array(F.collect_set("first")).alias("firsts")))
+        marked = found.join(repeated, ["h", "c"]).where("rid > owner").select("rid", "variant", "first")
+        if several:
+            texts = found.where("variant <> 0")
+            own = texts.groupBy("h", "c", "rid").agg(F.min("variant").alias("low"), F.max("variant").alias("high")).where("low < high").select("h", "c", "rid", "low")
+            marked = marked.unionAll(texts.join(own, ["h", "c", "rid"]).where("variant > low").select("rid", "variant", "first"))
+        marks = cut(marked.groupBy("rid", "variant").agg(F.sort_array(F.collect_set("first")).alias("firsts")))
     kind = dict(docs.dtypes)["doc_id"]
-    return rows.join(marks, "rid", "left").select("doc_id", "text", "firsts").mapInArrow(without, f"doc_id {kind}, n_sentences long, n_removed long, n_words long, n_words_removed long, text string")
+    return rows.join(marks, ["rid", "variant"], "left").select("doc_id", "text", "firsts").mapInArrow(without, f"doc_id {kind}, n_sentences long, n_removed long, n_words long, n_words_removed long, text string")
