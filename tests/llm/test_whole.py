@@ -1,6 +1,6 @@
 """The corpus operators do the whole job where links, rows and runs used to be lost."""
 
-from verso.llm import sentence_spans, url_aliases
+from verso.llm import jaccard_join, sentence_spans, url_aliases
 
 
 def test_relative_links_and_targets_forms(spark):
@@ -43,3 +43,19 @@ def test_spans_of_one_doc_id_with_two_texts(spark):
     two = [(1, f"A start. {passage}"), (1, f"Another start. {passage}")]
     got = sentence_spans.without_repeats(spark.createDataFrame(two, "doc_id long, text string")).collect()
     assert sorted(r["n_words_removed"] > 0 for r in got) == [False, True]
+
+
+def test_one_row_of_each_group(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(100))
+    near = lambda k: f"{text(k)} end"
+    rows = [
+        (1, text(1), "a"), (1, text(2), "b"), (2, near(1), "c"), (2, text(3), "d"), (1, text(1), "e"),
+        (None, near(2), "f"), (None, text(4), "g"), (None, near(4), "h"), (None, text(4), "i"), (None, text(5), "j"), (None, None, "k"), (None, "", "l"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tag string")
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    groups = [{"a", "c", "e"}, {"b", "f"}, {"d"}, {"g", "h", "i"}, {"j"}, {"k", "l"}]
+    tags = {r["tag"] for r in kept.collect()}
+    assert kept.count() == len(tags) == len(groups) and all(len(tags & g) == 1 for g in groups)
+    assert tags & {"a", "e"} and "b" in tags

@@ -10,7 +10,7 @@ links and a spanning forest of them do.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from math import comb
 
@@ -80,7 +80,7 @@ def needed(threshold: float, tolerance: float) -> tuple[int, ...]:
 
 
 def describe(n: int):
-    """Rows (doc_id, rid, text) to (doc_id, rid, key, size, bands)."""
+    """Rows (doc_id, rid, own, text) to (doc_id, rid, own, key, size, bands)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,8 +98,8 @@ def describe(n: int):
                 else:
                     bands.append(np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("rid"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "rid", "key", "size", "bands"],
+                [batch.column("doc_id"), batch.column("rid"), batch.column("own"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "rid", "own", "key", "size", "bands"],
             )
 
     return run
@@ -219,8 +219,14 @@ def similar_groups(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, to
     than shingle is one run. A null doc_id keeps its row and links; a class of which all ids are
     null has a null class_id. Repeated rows are copies. An empty table gives no rows.
     """
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("rid"), "text")
-    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, rid long, key long, size long, bands array<long>"
+    shown = ["doc_id", "class_id", F.col("copies").alias("n_copies"), (F.col("docs") + F.col("copies") - 1).alias("n_links"), F.col("texts").alias("n_linked_texts"), F.col("size").alias("n_runs")]
+    return _grouped(docs, threshold, shingle, tolerance, lambda rows: rows.select(*shown))
+
+
+def _grouped(docs: DataFrame, threshold: float, shingle: int, tolerance: float, result: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What result makes of a row per document: doc_id, rid, own (the text's hash), size, root of its group, class_id, copies, texts, docs."""
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("rid"), F.xxhash64("text").alias("own"), "text")
+    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, rid long, own long, key long, size long, bands array<long>"
     with written(rows.mapInArrow(describe(shingle), schema)) as seen:
         n_docs = seen.count()
         classes = cut_thin(seen.groupBy("key").agg(F.count("*").alias("copies"), F.min("rid").alias("rid"), F.min("doc_id").alias("first_id"), F.max("size").alias("size")), n_docs)
@@ -242,21 +248,20 @@ def similar_groups(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, to
         joined = components(linked.where("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v")))
         named = classes.withColumnRenamed("key", "node").join(joined, "node", "left").join(counts, "node", "left").withColumn("root", F.coalesce("root", "node"))
         first = cut_thin(named.groupBy("root").agg(F.min("first_id").alias("class_id")), n_docs)
-        named = named.join(first, "root").select(F.col("node").alias("key"), "copies", "class_id", F.coalesce("texts", F.lit(0)).alias("texts"), F.coalesce("docs", F.lit(0)).alias("docs"))
-        out = seen.select("doc_id", "key", "size").join(named, "key")
-        return cut_thin(out.select("doc_id", "class_id", F.col("copies").alias("n_copies"), (F.col("docs") + F.col("copies") - 1).alias("n_links"), F.col("texts").alias("n_linked_texts"), F.col("size").alias("n_runs")), n_docs)
+        named = named.join(first, "root").select(F.col("node").alias("key"), "root", "copies", "class_id", F.coalesce("texts", F.lit(0)).alias("texts"), F.coalesce("docs", F.lit(0)).alias("docs"))
+        return cut_thin(result(seen.select("doc_id", "rid", "own", "key", "size").join(named, "key")), n_docs)
 
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
-    """The rows of docs without all but one document of each group that similar_groups finds.
+    """The rows of docs without all but one row of each group that similar_groups finds.
 
-    The document with the least doc_id stays, in one row. Rows with a null doc_id stay if no
-    document with an id is in their group, one row for each text.
+    Of a group's rows that with the least doc_id stays, and of several texts of that doc_id the one
+    of the least hash; a null doc_id stays if no document with an id is in its group. Rows of one
+    doc_id with texts in different groups are rows of these groups.
     """
-    named = F.coalesce("doc_id", F.xxhash64("text"))
-    groups = similar_groups(docs.select("doc_id", "text"), threshold, shingle)
-    stay = groups.where("class_id is null or doc_id = class_id").select(F.col("doc_id").alias("__keep")).distinct()
-    ids = docs.join(stay.where("__keep is not null"), F.col("doc_id") == F.col("__keep"), "left_semi").dropDuplicates(["doc_id"])
-    if stay.where("__keep is null").isEmpty():
-        return ids
-    return ids.unionByName(docs.where("doc_id is null").withColumn("__rid", named).dropDuplicates(["__rid"]).drop("__rid"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "rid", "own"))
+    groups = _grouped(docs.select("doc_id", "text"), threshold, shingle, 1e-7, lambda rows: rows.groupBy("root").agg(first.alias("m")))
+    stay = groups.select(F.col("m.rid").alias("__rid"), F.col("m.own").alias("__own"), F.col("m.null").alias("__null"))
+    named = docs.withColumn("__rid", F.coalesce("doc_id", F.xxhash64("text"))).withColumn("__own", F.xxhash64("text")).withColumn("__null", F.col("doc_id").isNull())
+    keys = ["__rid", "__own", "__null"]
+    return named.join(stay, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
