@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..keep import drop, fresh
 from ..keep import keep as cut
-from ..keep import shared_dir
+
+Batches = Iterator[pa.RecordBatch]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,13 +35,51 @@ def written(df: DataFrame, codec: str = "zstd") -> Iterator[DataFrame]:
     What is derived from it has to be computed (see cut) before the block ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = fresh(spark)
     df.write.option("compression", codec).parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        drop(spark, path)
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """run for mapInArrow, after which the Python worker gives free memory back, as it outlives its task."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Batches) -> Batches:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return wrapped
+
+
+def whole_groups(batches: Batches, keys: list[str]) -> Batches:
+    """The same rows in batches that end where a group ends; rows equal in keys, whole numbers, come side by side."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        by = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys])
+        starts = np.flatnonzero((by[1:] != by[:-1]).any(1)) + 1
+        if held:
+            last = [held[0].column(k)[0].as_py() for k in keys]
+            if by[0].tolist() != last:
+                starts = np.concatenate(([0], starts))
+            if not len(starts):
+                held.append(batch)
+                continue
+        elif not len(starts):
+            held = [batch]
+            continue
+        done = [*held, batch.slice(0, starts[-1])]
+        if sum(b.num_rows for b in done):
+            yield pa.concat_batches(done)
+        held = [batch.slice(starts[-1])]
+    if held:
+        yield pa.concat_batches(held)
 
 
 def positions(df: DataFrame, key: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
