@@ -224,28 +224,89 @@ def test_spans(spark, docs):
     assert one["n_words_removed"] > 30 and "Another line stands here" in one["text"]
 
 
+def plain_hash(word, k):
+    """A word's hash by its definition, for where long sentences are cut."""
+    from verso.llm.words import _BYTE, _PLACE
+
+    h = sum(int(_BYTE[c]) * (int(_PLACE[i & 255]) + (i >> 8 << 1)) for i, c in enumerate(word)) + len(word)
+    h %= 2**64
+    h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 % 2**64
+    return h ^ h >> 32
+
+
+def plain_sentences(text):
+    """Lists of words, cut at sentence ends and, in long sentences, after words whose hash is the least within three."""
+    low = (text or "").encode().lower()
+    found, out = [], []
+    for m in WORD.finditer(low):
+        found.append((m[0], not found or re.search(rb"[.!?\n]", low[found_end : m.start()]) is not None))
+        found_end = m.end()
+    hashes = [plain_hash(w, 0) for w, _ in found]
+    groups = []
+    for i, (w, first) in enumerate(found):
+        if first:
+            groups.append([])
+        groups[-1].append(i)
+    for g in groups:
+        now = []
+        for i in g:
+            now.append(found[i][0])
+            around = hashes[max(0, i - 3) : i + 4]
+            if len(g) > 12 and 3 <= i < len(found) - 3 and hashes[i] == min(around) and around.index(hashes[i]) == 3 and i != g[-1]:
+                out.append(now)
+                now = []
+        out.append(now)
+    return out
+
+
+def plain_spans(rows):
+    """(n_sentences, n_removed, n_words, n_words_removed) of each row, in order of first places."""
+    first, out = {}, []
+    for text in rows:
+        own = plain_sentences(text)
+        again = set()
+        for k in range(len(own) - 2):
+            run = tuple(w for s in own[k : k + 3] for w in s)
+            if run in first:
+                again |= {k, k + 1, k + 2}
+            first.setdefault(run, k)
+        gone = set()
+        for k in sorted(again):
+            if k - 1 not in again:
+                size = 0
+                stretch = []
+                while k in again:
+                    stretch.append(k)
+                    size += len(own[k])
+                    k += 1
+                if size >= 20:
+                    gone |= set(stretch)
+        out.append((len(own), len(gone), sum(map(len, own)), sum(len(own[k]) for k in gone)))
+    return out
+
+
 def test_spans_against_plain_version(docs, texts):
-    owner, runs = {}, {}
-    for i in sorted(texts):
-        data = texts[i].encode()
-        w = scan(data)
-        begin = sentence_spans.sentences(data, w)
-        low = words(texts[i])
-        own = []
-        for k in range(len(begin) - 1):
-            end = next((e for e in range(k + 3, len(begin)) if begin[e] - begin[k] >= 20), None)
-            if end is not None:
-                own.append((k, end, (tuple(low[begin[k] : begin[end]]), end - k)))
-        runs[i] = begin, own
-        for k, _, run in own:
-            owner.setdefault(run, (i, k))
+    want = dict(zip(sorted(texts), plain_spans([texts[i] for i in sorted(texts)]), strict=True))
     for r in sentence_spans.without_repeats(docs).collect():
-        begin, own = runs[r["doc_id"]]
-        gone = {s for k, end, run in own if owner[run] != (r["doc_id"], k) for s in range(k, end)}
-        assert (r["n_sentences"], r["n_removed"]) == (len(begin) - 1, len(gone))
+        assert want[r["doc_id"]] == (r["n_sentences"], r["n_removed"], r["n_words"], r["n_words_removed"]), r["doc_id"]
         assert len(words(r["text"])) == r["n_words"] - r["n_words_removed"]
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_spans_of_repeated_and_null_ids(spark, kind):
+    rng = np.random.default_rng(11)
+    passages = [" ".join(f"p{p}w{i}." if i % 7 == 6 else f"p{p}w{i}" for i in range(28)) for p in range(6)]
+    texts = [None, "", "hi there", *(" ".join(passages[p] for p in rng.integers(0, 6, int(rng.integers(1, 4)))) for _ in range(12))]
+    rows = [(None if rng.random() < 0.3 else int(rng.integers(0, 9)), texts[int(rng.integers(0, len(texts)))]) for _ in range(70)] + [(1, "p"), (5, "p"), (5, "hi there")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    named = frame.select("doc_id", "text", F.xxhash64("text").alias("own"), F.xxhash64("doc_id").alias("by")).collect()
+    order = sorted(named, key=lambda r: (r["own"] if r["doc_id"] is None else r["by"] if kind == "string" else r["doc_id"], r["own"]))
+    want = Counter(zip((r["doc_id"] for r in order), plain_spans([r["text"] for r in order]), strict=True))
+    got = sentence_spans.without_repeats(frame).collect()
+    assert Counter((r["doc_id"], (r["n_sentences"], r["n_removed"], r["n_words"], r["n_words_removed"])) for r in got) == want
+    assert max(Counter(s for r in got for s in re.findall(r"p\dw\d+", r["text"])).values()) <= 6
+
+
 def test_spans_on_odd_rows(spark, odd):
     got = sentence_spans.without_repeats(odd).collect()
     assert len(got) == len(ROWS) and sum(r["doc_id"] is None for r in got) == 1

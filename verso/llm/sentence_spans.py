@@ -2,25 +2,25 @@
 
 A text is cut into sentences, at full stops, question and exclamation marks and line ends. Long
 sentences are cut further at words whose hash is the least around, so that a passage is cut alike
-wherever it stands. From every sentence the run of at least LEAST sentences and LEAST_WORDS words
-is hashed; the runs of all texts are joined, and the sentences that a repeated run covers go, but
-for the run's first place: the least doc_id's first.
+wherever it stands. Every run of RUN consecutive sentences is hashed; the runs of all texts are
+joined, and the sentences that a repeated run covers go, but for the run's first place: the least
+doc_id's first. As a run begins with every sentence, the runs of a repeated passage cover it from
+its first whole sentence to its last. What they cover stays if it has under LEAST_WORDS words in
+a row, so that short phrases may come again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, written
+from .shared import Batches, cut, lean, written
 from .words import Words, mix, scan_all, utf8
 
-LEAST, LEAST_WORDS, LONG, REACH = 3, 20, 12, 3
-#: Ids with several texts that are sent to all tasks; more are joined by a shuffle.
+RUN, LEAST_WORDS, LONG, REACH = 3, 20, 12, 3
+#: Ids of several rows that are sent to all tasks; more are joined by a shuffle.
 MOST_SENT = 100_000
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?\n")] = True
@@ -63,29 +63,26 @@ def powers(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(_BASES[k], n), _powers(pow(_BASES[k], -1, 2**64), n)
 
 
-def spans(words: Words, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the run that begins with each sentence, where there is one: the sentence after it, and two hashes."""
-    n = len(begin) - 1
-    last = np.maximum(np.arange(n) + LEAST, np.searchsorted(begin, begin[:-1] + LEAST_WORDS))
-    last = last[last <= n]
-    runs = np.arange(len(last))
+def spans(words: Words, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the run that begins with each sentence, where there is one."""
+    first, last = begin[:-RUN], begin[RUN:]
     out = []
     for k in (0, 1):
         up, down = powers(k, len(words.hash))
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words.hash * up[: len(words.hash)], dtype=np.uint64)))
-        out.append(mix((sums[begin[last]] - sums[begin[runs]]) * down[begin[runs]] + (last - runs).astype(np.uint64)))
-    return last, out[0].view(np.int64), (out[1] >> np.uint64(33)).astype(np.int32)
+        out.append(mix((sums[last] - sums[first]) * down[first]))
+    return out[0].view(np.int64), (out[1] >> np.uint64(33)).astype(np.int32)
 
 
-def each_span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@lean
+def each_span(batches: Batches) -> Batches:
     """Rows (rid, variant, text) to (h, c, rid, variant, first): each run's hashes, and the sentence that it begins with; repeats within a text once."""
     for batch in batches:
         h, c, rids, variants, firsts = [], [], [], [], []
         texts = utf8(batch.column("text"))
         for rid, variant, data, words in zip(batch.column("rid").to_pylist(), batch.column("variant").to_pylist(), texts, scan_all(texts), strict=True):
-            begin = sentences(data, words)
-            last, hash_, check = spans(words, begin)
-            if len(last):
+            hash_, check = spans(words, sentences(data, words))
+            if len(hash_):
                 _, at = np.unique(hash_, return_index=True)
                 h.append(hash_[at])
                 c.append(check[at])
@@ -96,63 +93,86 @@ def each_span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (h, c, rids, variants, firsts)], names=["h", "c", "rid", "variant", "first"])
 
 
-def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, text, firsts) to the result of without_repeats; firsts: sentences at which runs to remove begin."""
+def covered(begin: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """The sentences in runs that begin at firsts, where these cover LEAST_WORDS words in a row."""
+    gone = np.zeros(len(begin), np.int64)
+    np.add.at(gone, firsts, 1)
+    np.add.at(gone, firsts + RUN, -1)
+    out = np.cumsum(gone[:-1]) > 0
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], out, [False]))))
+    for a, b in zip(edge[0::2], edge[1::2], strict=True):
+        if begin[b] - begin[a] < LEAST_WORDS:
+            out[a:b] = False
+    return out
+
+
+@lean
+def without(batches: Batches) -> Batches:
+    """Rows (doc_id, text, firsts, copies) to the result of without_repeats, copies rows of each; firsts: sentences at which runs to remove begin."""
     names = ["doc_id", "n_sentences", "n_removed", "n_words", "n_words_removed", "text"]
     for batch in batches:
-        rows = []
+        rows, of = [], []
         texts = utf8(batch.column("text"))
-        for data, words, firsts in zip(texts, scan_all(texts), batch.column("firsts").to_pylist(), strict=True):
+        for at, (data, words, firsts, copies) in enumerate(zip(texts, scan_all(texts), batch.column("firsts").to_pylist(), batch.column("copies").to_pylist(), strict=True)):
             begin = sentences(data, words)
-            last, hash_, _ = spans(words, begin)
-            n = len(begin) - 1
-            gone = np.zeros(n + 1, np.int64)
-            marks = np.array(firsts or [], np.int64)
-            if len(last):
-                again = np.ones(len(last), bool)
-                again[np.unique(hash_, return_index=True)[1]] = False
-                marks = np.concatenate((marks, np.flatnonzero(again)))
-            np.add.at(gone, marks, 1)
-            np.add.at(gone, last[marks] if len(marks) else marks, -1)
-            out = np.cumsum(gone[:-1]) > 0
+            hash_, _ = spans(words, begin)
             sizes = np.diff(begin)
-            if out.any():
-                place = np.append(words.start[begin[:-1]], len(data))
-                kept = [data[: place[0]], *(data[place[i] : place[i + 1]] for i in np.flatnonzero(~out))]
-                data = b"".join(kept)
-            rows.append((n, int(out.sum()), int(sizes.sum()), int(sizes[out].sum()), data.decode()))
+            again = np.ones(len(hash_), bool)
+            again[np.unique(hash_, return_index=True)[1]] = False
+            marks = np.union1d(np.array(firsts or [], np.int64), np.flatnonzero(again))
+            place = np.append(words.start[begin[:-1]], len(data))
+            for marked, n in ((marks, 1), (np.arange(len(hash_)), copies - 1)):
+                if not n:
+                    continue
+                out, left = covered(begin, marked), data
+                if out.any():
+                    left = b"".join([data[: place[0]], *(data[place[i] : place[i + 1]] for i in np.flatnonzero(~out))])
+                rows += [(len(sizes), int(out.sum()), int(sizes.sum()), int(sizes[out].sum()), left.decode())] * n
+                of += [at] * n
         columns = list(zip(*rows, strict=True)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, k) for x, k in zip(columns, [pa.int64()] * 4 + [pa.string()], strict=True))], names=names)
+        kinds = [pa.int64()] * 4 + [pa.string()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(of, pa.int64())), *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))], names=names)
+
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """docs as (doc_id, rid, variant, text, copies).
 
-def _rows(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """docs as (doc_id, rid, variant, text), and whether a variant is not 0: the text's hash where rows of one rid differ in text."""
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("rid"), F.xxhash64("text").alias("own"), "text")
-    several = cut(rows.groupBy("rid").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low < high").select("rid", F.lit(True).alias("several")))
-    n = several.count()
+    rid is a whole-number doc_id, or a hash of another or of a null one's text. Where several rows
+    share a rid, variant is the text's hash, and rows of equal texts are one with their number in
+    copies; they fall together before their texts travel. Else variant is 0 and copies 1.
+    """
+    text = F.xxhash64("text")
+    whole = dict(docs.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint")
+    own = F.col("doc_id").cast("long") if whole else F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id"))
+    rows = docs.select("doc_id", F.coalesce(own, text).alias("rid"), text.alias("own"), "text")
+    shared = cut(rows.groupBy("rid").agg(F.count("*").alias("n")).where("n > 1").select("rid"))
+    n = shared.count()
+    alone = [F.lit(0).cast("long").alias("variant"), "text", F.lit(1).cast("long").alias("copies")]
     if not n:
-        return rows.select("doc_id", "rid", F.lit(0).cast("long").alias("variant"), "text"), False
-    met = rows.join(F.broadcast(several) if n <= MOST_SENT else several, "rid", "left")
-    return met.select("doc_id", "rid", F.when(F.col("several"), F.col("own")).otherwise(F.lit(0)).alias("variant"), "text"), True
+        return rows.select("doc_id", "rid", *alone)
+    few = F.broadcast(shared) if n <= MOST_SENT else shared
+    met = rows.join(few, "rid", "left_semi").groupBy("rid", F.col("doc_id").isNull(), F.col("own").alias("variant"))
+    met = met.agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("copies"))
+    return rows.join(few, "rid", "left_anti").select("doc_id", "rid", *alone).unionAll(met.select("doc_id", "rid", "variant", "text", "copies"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_sentences, n_removed, n_words, n_words_removed, text.
 
-    docs needs doc_id and text; other columns are ignored. text is what is left. Of two documents
-    with a run of sentences the one with the lower doc_id keeps it, of two texts of one doc_id that
-    of the lower hash, and within a document its first place. Null text is empty; texts shorter than
-    a run keep all. Equal rows don't lose runs to each other; a null doc_id stands for a number made
-    from the text. An empty table gives no rows.
+    docs needs doc_id, of any type that can be hashed, and text; other columns are ignored. text is
+    what is left. Of two documents with a run of sentences the one with the lower doc_id keeps it, of
+    two texts of one doc_id that of the lower hash, and within a document its first place. Ids that
+    are not whole numbers are in the order of their hashes; a null doc_id stands for the hash of its
+    text. Of repeated rows one is first, and the others lose what runs cover. Null text is
+    empty; texts of fewer than RUN sentences keep all. An empty table gives no rows.
     """
-    rows, several = _rows(docs)
+    rows = _rows(docs)
     with written(rows.select("rid", "variant", "text").mapInArrow(each_span, "h long, c int, rid long, variant long, first int")) as found:
         repeated = found.groupBy("h", "c").agg(F.min("rid").alias("owner"), F.max("rid").alias("other")).where("owner < other").select("h", "c", "owner")
         marked = found.join(repeated, ["h", "c"]).where("rid > owner").select("rid", "variant", "first")
-        if several:
-            texts = found.where("variant <> 0")
-            own = texts.groupBy("h", "c", "rid").agg(F.min("variant").alias("low"), F.max("variant").alias("high")).where("low < high").select("h", "c", "rid", "low")
-            marked = marked.unionAll(texts.join(own, ["h", "c", "rid"]).where("variant > low").select("rid", "variant", "first"))
+        texts = found.where("variant <> 0")
+        own = texts.groupBy("h", "c", "rid").agg(F.min("variant").alias("low"), F.max("variant").alias("high")).where("low < high").select("h", "c", "rid", "low")
+        marked = marked.unionAll(texts.join(own, ["h", "c", "rid"]).where("variant > low").select("rid", "variant", "first"))
         marks = cut(marked.groupBy("rid", "variant").agg(F.sort_array(F.collect_set("first")).alias("firsts")))
     kind = dict(docs.dtypes)["doc_id"]
-    return rows.join(marks, ["rid", "variant"], "left").select("doc_id", "text", "firsts").mapInArrow(without, f"doc_id {kind}, n_sentences long, n_removed long, n_words long, n_words_removed long, text string")
+    return rows.join(marks, ["rid", "variant"], "left").select("doc_id", "text", "firsts", "copies").mapInArrow(without, f"doc_id {kind}, n_sentences long, n_removed long, n_words long, n_words_removed long, text string")
