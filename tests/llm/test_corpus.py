@@ -119,6 +119,59 @@ def test_quality(spark, odd, docs, sf):
     assert quality_cnn.accepted(odd, labels).columns == odd.columns
 
 
+def plain_probability(data, net):
+    """The network by its definition, byte by byte."""
+    n = max(1, -(-len(data) // quality_cnn.BLOCK))
+    padded = data + b"\0" * (n * quality_cnn.BLOCK + quality_cnn.WIDTH - len(data))
+    out = [[max(0.0, sum(float(net.table[j][padded[p + j]][f]) for j in range(quality_cnn.WIDTH)) + float(net.bias[f])) for p in range(n * quality_cnn.BLOCK)] for f in range(quality_cnn.FILTERS)]
+    z = net.offset
+    for f, responses in enumerate(out):
+        chunks = [max(responses[k * quality_cnn.BLOCK : (k + 2) * quality_cnn.BLOCK]) for k in range(max(1, n - 1))]
+        z += float(net.weight[f]) * sum(chunks) / len(chunks) + float(net.weight[quality_cnn.FILTERS + f]) * max(chunks)
+    return 1 / (1 + np.exp(-z))
+
+
+@pytest.fixture(scope="module")
+def net():
+    rng = np.random.default_rng(8)
+    return quality_cnn.Network(rng.normal(0, 0.3, (quality_cnn.WIDTH, 256, quality_cnn.FILTERS)), rng.normal(0, 0.1, quality_cnn.FILTERS), rng.normal(0, 0.3, 2 * quality_cnn.FILTERS), 0.2)
+
+
+@pytest.mark.parametrize("size", [0, 1, 127, 128, 129, 300, 1000])
+def test_network_against_plain_version(net, size):
+    data = np.random.default_rng(size).integers(0, 256, size, dtype=np.uint8).tobytes()
+    assert quality_cnn.probability(data, net) == pytest.approx(plain_probability(data, net), rel=1e-9)
+
+
+@pytest.mark.parametrize("size", [5, 200, 700])
+def test_gradient_against_differences(net, size):
+    data = np.random.default_rng(size).integers(32, 64, size, dtype=np.uint8).tobytes()
+    loss = lambda n, y: -np.log(quality_cnn.probability(data, n) if y else 1 - quality_cnn.probability(data, n))
+    for label in (0, 1):
+        found = quality_cnn.gradient(data, label, net)
+        rng = np.random.default_rng(1)
+        for k in range(3):
+            at = [tuple(rng.integers(0, d) for d in net[k].shape) for _ in range(12)]
+            if k == 0:
+                at = [(j, data[j + 1], f) for j in range(4) for f in range(0, 12, 4)]
+            for place in at:
+                less, more = (net._replace(**{net._fields[k]: net[k].copy()}) for _ in range(2))
+                less[k][place] -= 1e-6
+                more[k][place] += 1e-6
+                assert found[k][place] == pytest.approx((loss(more, label) - loss(less, label)) / 2e-6, abs=1e-6)
+        assert found[3][0] == pytest.approx((loss(net._replace(offset=net.offset + 1e-6), label) - loss(net._replace(offset=net.offset - 1e-6), label)) / 2e-6, abs=1e-6)
+
+
+def test_learning_takes_each_labelled_document_once(spark):
+    good, bad = "a calm page of plain words in order ", "zz## !!xx 99%% qq@@ "
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, (good if i % 2 else bad) * 9) for i in ids] + [(ids[0], bad * 9)] * 3000
+    labels = [(i, i % 2) for i in ids] + [(ids[0], 0)] * 50 + [(ids[1], 0), (ids[1], 1), (None, 1), (ids[2], None), (-5, 1)]
+    out = quality_cnn.quality(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"), per_class=20)
+    got = {r["doc_id"]: r["predicted"] for r in out.collect()}
+    assert all(got[i] == i % 2 for i in ids)
+
+
 def test_network_covers_whole_texts():
     net = quality_cnn.fit([b"good words in a text " * 9, b"bad!!! ###junk### " * 9], [1, 0], epochs=30, batch=1)
     long = b"good words in a text " * 9000

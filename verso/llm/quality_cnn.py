@@ -63,10 +63,35 @@ def probability(data: bytes, net: Network) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(texts: list[bytes], labels: list[int], epochs: int = 12, batch: int = 16, rate: float = 0.01, seed: int = 5) -> Network:
+def gradient(data: bytes, label: int, net: Network, weigh: float = 1.0) -> list[np.ndarray]:
+    """Of weigh times the log loss, by table, bias, weight and offset."""
+    most, where, padded = _pooled(data, net, True)
+    chunks = _chunks(most)
+    features = np.concatenate([chunks.mean(0), chunks.max(0)])
+    z = float(features @ net.weight) + net.offset
+    slope = net.weight.dtype.type((1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) * weigh)
+    down = np.repeat((slope * net.weight[:FILTERS] / len(chunks))[None], len(chunks), 0)
+    down[chunks.argmax(0), np.arange(FILTERS)] += slope * net.weight[FILTERS:]
+    block = np.zeros_like(most)
+    if len(most) > 1:
+        left = most[:-1] >= most[1:]
+        block[:-1] += down * left
+        block[1:] += down * ~left
+    else:
+        block += down
+    block *= most > 0
+    table = np.zeros_like(net.table)
+    row, column = np.nonzero(block)
+    for j in range(WIDTH):
+        np.add.at(table[j], (padded[where[row, column] + j], column), block[row, column])
+    return [table, block.sum(0), slope * features, np.full(1, slope)]
+
+
+def fit(texts: list[bytes], labels: list[int], epochs: int = 12, batch: int = 16, rate: float = 0.01, cuts: float = 0.2, seed: int = 5) -> Network:
     """Adam on the log loss; both classes weigh the same. One class only gives its constant answer.
 
-    Some texts are learned from as short cuts in an epoch, so that shortness itself says nothing.
+    With a chance of cuts, the same for both classes, a text is learned from as a short cut in an
+    epoch, so that shortness itself says nothing; else as a whole.
     """
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(np.float32)
@@ -83,34 +108,15 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = 12, batch: int = 16
         for at in range(0, len(order), batch):
             grads = [np.zeros_like(p) for p in params]
             some = order[at : at + batch]
+            now = Network(params[0], params[1], params[2], float(params[3][0]))
             for i in some:
-                now = Network(params[0], params[1], params[2], float(params[3][0]))
                 text = texts[i]
-                if rng.random() < (0.1, 0.3)[int(y[i])]:
+                if rng.random() < cuts:
                     size = int(rng.integers(1, 200))
                     start = int(rng.integers(0, max(1, len(text) - size)))
                     text = text[start : start + size]
-                most, where, padded = _pooled(text, now, True)
-                chunks = _chunks(most)
-                features = np.concatenate([chunks.mean(0), chunks.max(0)])
-                z = float(features @ now.weight) + now.offset
-                slope = np.float32((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[i]) * share[int(y[i])] / len(some))
-                grads[2] += slope * features
-                grads[3] += slope
-                down = np.repeat((slope * now.weight[:FILTERS] / len(chunks))[None], len(chunks), 0)
-                down[chunks.argmax(0), np.arange(FILTERS)] += slope * now.weight[FILTERS:]
-                block = np.zeros_like(most)
-                if len(most) > 1:
-                    left = most[:-1] >= most[1:]
-                    block[:-1] += down * left
-                    block[1:] += down * ~left
-                else:
-                    block += down
-                block *= most > 0
-                grads[1] += block.sum(0)
-                row, column = np.nonzero(block)
-                for j in range(WIDTH):
-                    np.add.at(grads[0][j], (padded[where[row, column] + j], column), block[row, column])
+                for g, own in zip(grads, gradient(text, labels[i], now, share[labels[i]] / len(some)), strict=True):
+                    g += own
             t += 1
             for p, g, m, v in zip(params, grads, first, second, strict=True):
                 m += 0.1 * (g - m)
@@ -124,25 +130,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = 400, most_bytes: int = 1 << 14) -> Network:
-    """A network from at most per_class labelled documents of each class that are not held out.
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = 400) -> Network:
+    """A network from the whole texts of at most per_class labelled documents of each class that are not held out.
 
-    The documents are those of the least hashes, so reruns agree; of a document with more than
-    most_bytes bytes, as many from its middle are learned from. Labels without a text, null labels and held-out
+    The documents are those of the least hashes, so reruns agree. Of a doc_id with several texts the
+    least is learned from. Labels without a text, null, other and contradictory labels and held-out
     rows teach nothing; without any label all documents score 0.5.
     """
-    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "quality")
+    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    usable = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("__most")).where("quality = __most").drop("__most")
     order = F.xxhash64("doc_id")
     chosen = [usable.where(F.col("quality") == q).orderBy(order, "doc_id").limit(per_class) for q in (0, 1)]
-    text = F.coalesce("text", F.lit(""))
-    middle = F.substring(text, F.greatest(F.lit(1), (F.length(text) - most_bytes) / 2 + 1).cast("int"), F.lit(most_bytes))
-    met = docs.select("doc_id", middle.alias("t")).join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")
-    rows = met.orderBy(order, "doc_id", "quality", "t").limit(4 * per_class).collect()
+    met = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")
+    rows = met.groupBy("doc_id", "quality").agg(F.min("t").alias("t")).orderBy(order, "doc_id").collect()  # at most 2 * per_class
     return fit([r["t"].encode() for r in rows], [r["quality"] for r in rows])
 
 
 def score(text: Column, net: Network) -> Column:
-    """Probability of quality 1 of whole texts; null is empty."""
+    """Probability of quality 1 of whole texts; null is empty, and an empty text is one empty chunk. Equal texts score alike."""
 
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([probability(b"" if t is None else t.encode(), net) for t in texts], dtype="float64")
@@ -162,6 +167,10 @@ def quality(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of docs that are not rejected; all columns stay."""
+    """The rows of docs that are not rejected; all columns stay.
+
+    Null and empty texts are judged by the score of an empty chunk. Repeated rows stay or go together, a null doc_id too;
+    an empty table stays empty, and without labels nothing is rejected.
+    """
     net = learn(docs, labels, **options)
     return docs.withColumn("__score", score(F.col("text"), net)).where("__score >= 0.5").select(*docs.columns)
