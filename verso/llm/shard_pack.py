@@ -1,19 +1,21 @@
 """Sharding by best-fit-decreasing bin packing of indivisible groups.
 
-Documents of equal text are a group. Groups above a fixed part of a shard are packed one by one;
-all others are first dealt by hash into a fixed number of bundles, so that the packing handles a
-bounded number of items at any size of input. Items go, largest first, into the bin with the
-least remaining capacity that holds them, found in a balanced tree.
+Documents of equal text are a group. Groups, largest first, go into the bin with the least remaining
+capacity that holds them, found in a balanced tree. The driver packs a histogram, not groups: of each
+size as many as the tightest bin holds go into it at once, which is what one by one would come to.
+With the sizes' bins known, each group finds its own by its rank among those of its size.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import positions, rank
 
-SHARDS, BUNDLES, LARGE = 24, 4096, 64
+SHARDS = 24
 
 
 class Tree:
@@ -84,45 +86,76 @@ class Tree:
         return self._turn(node, side)
 
 
-def best_fit(sizes: list[int], capacity: int) -> list[int]:
-    """Bins of fixed capacity for sizes, which are in falling order; an item above the capacity has its own."""
+Runs = list[tuple[int, int]]
+
+
+def best_fit(runs: Runs, capacity: int, most: int | None = None) -> list[Runs] | None:
+    """For each (size, count), in falling order of size, the (bin, count) in which best fit puts them; None if more than most bins are needed.
+
+    Bins have a fixed capacity; an item above it has its own.
+    """
     tree, bins, out = Tree(), 0, []
-    for size in sizes:
-        found = tree.ceiling((size, -1))
-        if found is None:
-            found = (max(capacity, size), bins)
-            bins += 1
-        else:
-            tree.remove(found)
-        tree.add((found[0] - size, found[1]))
-        out.append(found[1])
+    for size, count in runs:
+        own: Runs = []
+        while count:
+            found = tree.ceiling((size, -1))
+            if found is None:
+                if bins == most:
+                    return None
+                found = (max(capacity, size), bins)
+                bins += 1
+            else:
+                tree.remove(found)
+            # the tightest bin that holds one stays the tightest while it holds another
+            n = min(count, found[0] // size)
+            tree.add((found[0] - n * size, found[1]))
+            own.append((found[1], n))
+            count -= n
+        out.append(own)
     return out
 
 
-def even_bins(sizes: list[int], bins: int) -> list[int]:
-    """Bins 0 to bins - 1 for sizes, which are in falling order.
+def even_bins(runs: Runs, bins: int) -> list[Runs]:
+    """The (bin, count), bins 0 to bins - 1, of each (size, count), which are in falling order of size.
 
     Items that exceed an even part of what is left have a bin of their own. The others are packed
-    at the least capacity, found by bisection, at which best fit needs no more bins than are left.
+    at a capacity at which best fit needs no more bins than are left: from the least that could do
+    upwards in growing steps, then by bisection of the last step.
     """
-    alone, left = 0, sum(sizes)
-    while alone < min(len(sizes), bins - 1) and sizes[alone] * (bins - alone) > left:
-        left -= sizes[alone]
+    alone, left, own = 0, sum(s * n for s, n in runs), []
+    rest = list(runs)
+    while rest and alone < bins - 1 and rest[0][0] * (bins - alone) > left:
+        size, count = rest[0]
+        if not own or own[-1][0] != size:
+            own.append((size, []))
+        own[-1][1].append((alone, 1))
+        rest[0:1] = [(size, count - 1)] if count > 1 else []
+        left -= size
         alone += 1
-    rest, n = sizes[alone:], bins - alone
     if not rest:
-        return list(range(alone))
-    low, high = max(-(-left // n), rest[0]), max(left, rest[0])
-    while low < high:
+        return [x for _, x in own]
+    n = bins - alone
+    low, step = max(-(-left // n), rest[0][0]) - 1, 1  # low is too little
+    while (found := best_fit(rest, low + step, n)) is None:
+        low, step = low + step, 2 * step
+    high = low + step
+    while high - low > max(1, high // 1_000_000):
         middle = (low + high) // 2
-        if max(best_fit(rest, middle)) < n:
-            high = middle
+        if (better := best_fit(rest, middle, n)) is None:
+            low = middle
         else:
-            low = middle + 1
-    return [*range(alone), *(alone + b for b in best_fit(rest, high))]
+            high, found = middle, better
+    out = [x for _, x in own]
+    for (size, _), where in zip(rest, found, strict=True):
+        where = [(alone + b, k) for b, k in where]
+        if own and own[-1][0] == size:
+            out[-1] += where
+        else:
+            out.append(where)
+    return out
 
 
-def packed(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES, large: int = LARGE) -> DataFrame:
+def packed(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, shard, slot.
 
     docs needs doc_id and text; other columns are ignored. size is the text's bytes plus 8.
@@ -131,23 +164,22 @@ def packed(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES, large:
     part: it then has a shard of its own. slot counts from 0 within the shard, equal texts side by
     side; rows equal in text and doc_id may swap slots. Fewer groups than shards leave shards
     empty; an empty table gives no rows.
+
+    The driver holds a count for each distinct sum of a group, of which there are fewer than twice the root of
+    the bytes of all documents, and which grow far more slowly where sizes repeat.
     """
-    text = F.coalesce("text", F.lit(""))
-    size = (F.octet_length(text) + 8).cast("long")
-    thin = docs.select("doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("__group"))
-    whole = docs.agg(F.sum(size)).first()[0] or 0
-    bundle = F.pmod("__group", F.lit(bundles)).cast("long")
-    sums = thin.groupBy("__group").agg(F.sum("size").alias("s"))
-    shared = F.col("s") * shards * large <= whole  # fewer than shards * large groups are not
-    parts = sums.groupBy(shared.alias("shared"), F.when(shared, bundle).otherwise(F.col("__group")).alias("key")).agg(F.sum("s").alias("s"))
-    items = [(-r["s"], int(r["shared"]), r["key"]) for r in parts.collect()]
-    items.sort()
-    bins = even_bins([-s for s, _, _ in items], shards)
-    of = {item[1:]: b for item, b in zip(items, bins, strict=True)}
     spark = docs.sparkSession
-    by_group = spark.createDataFrame([(k, b) for (kind, k), b in of.items() if not kind], "__group long, g_shard int")
-    by_bundle = spark.createDataFrame([(k, b) for (kind, k), b in of.items() if kind], "__bundle long, b_shard int")
-    put = thin.withColumn("__bundle", bundle).join(F.broadcast(by_group), "__group", "left").join(F.broadcast(by_bundle), "__bundle", "left")
-    put = put.select("doc_id", "size", "text_crc32", "__group", F.coalesce("g_shard", "b_shard").alias("shard"))
-    rows, parts = positions(put, "shard", ["__group", "doc_id"])
+    text = F.coalesce("text", F.lit(""))
+    thin = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("__group"))
+    groups, parts = positions(thin.groupBy("__group").agg(F.sum("size").alias("__sum")), "__sum", ["__group"])
+    runs = groups.groupBy("__sum").agg(F.count("*").alias("n")).toArrow()
+    sums, counts = runs.column(0).to_numpy(), runs.column(1).to_numpy()
+    order = np.argsort(-sums)
+    where = even_bins([(int(s), int(n)) for s, n in zip(sums[order], counts[order], strict=True)], shards)
+    upto = pa.array([np.cumsum([n for _, n in x]) for x in where], pa.list_(pa.int64()))
+    bins = pa.array([[b for b, _ in x] for x in where], pa.list_(pa.int32()))
+    of_sum = spark.createDataFrame(pa.table({"__sum": pa.array(sums[order], pa.int64()), "upto": upto, "bins": bins})) if len(sums) else spark.createDataFrame([], "__sum long, upto array<long>, bins array<int>")
+    ranked = groups.join(parts, ["__sum", "__part"]).select("__group", "__sum", rank().alias("__rank"))
+    put = ranked.join(of_sum, "__sum").select("__group", F.element_at("bins", F.size(F.filter("upto", lambda x: x <= F.col("__rank"))) + 1).alias("shard"))
+    rows, parts = positions(thin.join(put, "__group"), "shard", ["__group", "doc_id"])
     return rows.join(F.broadcast(parts), ["shard", "__part"]).select("doc_id", "size", "text_crc32", "shard", rank().cast("long").alias("slot"))
