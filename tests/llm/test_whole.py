@@ -15,9 +15,8 @@ def test_relative_links_and_targets_forms(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {tuple(r) for r in url_aliases.links(pages).collect()}
     assert got == {
-        ("http://a.org/d/x?q=1", "http://a.org/d/home.html?u=http://z.org/"), ("http://a.org/d/x?q=1", "https://a.org/d/x?q=1"), ("http://a.org/d/e/x", "http://a.org/d/y/"), ("http://a.org/d/e/x", "https://a.org/d/e/x"),
-        ("http://a.org/p?a=1#f", "http://a.org/p?p=1"), ("http://a.org/p?a=1#f", "https://a.org/p?a=1"), ("http://c.org", "http://c.org/one"), ("http://c.org", "https://c.org"),
-        ("http://c.org/m", "https://c.org/m"), ("http://c.org/n", "http://c.org/r/"), ("http://c.org/n", "https://c.org/n"),
+        ("http://a.org/d/x?q=1", "http://a.org/d/home.html?u=http://z.org/"), ("http://a.org/d/e/x", "http://a.org/d/y/"), ("http://a.org/p?a=1#f", "http://a.org/p?p=1"),
+        ("http://c.org", "http://c.org/one"), ("http://c.org/n", "http://c.org/r/"),
     }
     rows = [
         (1, "https://a.org/1", "<link rel=canonical href='http://B.org/2#top'>"),
@@ -27,7 +26,7 @@ def test_relative_links_and_targets_forms(spark):
         (5, "https://b.org/dir/x", "<meta http-equiv='refresh' content='0; url=../2'>"),
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = {r["page_id"]: r["verdict"] for r in url_aliases.verdicts(pages, url_aliases.aliases(pages)).collect()}
+    got = {r["page_id"]: r["verdict"] for r in url_aliases.verdicts(pages, url_aliases.links(pages)).collect()}
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block"}
 
 

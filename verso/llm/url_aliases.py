@@ -7,14 +7,16 @@ that no rule judges; an explicit allow in a component takes precedence over its
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from string import ascii_lowercase, ascii_uppercase
+from .shared import components, cut
 
-from .shared import components
+#: Parts over which one component's members are dealt.
+SALT = 16
 
 
 class Rule(NamedTuple):
@@ -92,38 +94,65 @@ def _target(page: Column, link: Column) -> Column:
     )
 
 
+_CANONICAL = r"""(?i)<link\b[^>]*\brel\s*=\s*(?:"[^"]*\bcanonical\b[^"]*"|'[^']*\bcanonical\b[^']*'|canonical\b)[^>]*>"""
+_REFRESH = r"""(?i)<meta\b[^>]*http-equiv\s*=\s*["']?refresh\b[^>]*>"""
+_OG_URL = r"""(?i)<meta\b[^>]*\bproperty\s*=\s*["']?og:url\b[^>]*>"""
+_BASE = r"""(?i)<base\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+_HREF, _URL, _CONTENT = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", r"""(?i)\burl\s*=\s*["']?([^"'>]+)""", r"""(?i)\bcontent\s*=\s*["']?([^"'\s>]+)"""
+
+
 def links(pages: DataFrame) -> DataFrame:
-    """Edges (src, dst): each page's canonical link and refresh redirect, and its URL's plain form."""
-    canonical = F.regexp_extract("html", r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    refresh = F.regexp_extract("html", r"(?i)<meta\b[^>]*http-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    href = F.regexp_extract(canonical, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    to = F.regexp_extract(refresh, r"(?i)\burl\s*=\s*[\"']?([^\"'>]+)", 1)
-    found = pages.where(F.col("url").contains("://")).select(F.col("url").alias("src"), href.alias("href"), to.alias("to"))
-    found = found.select("src", F.explode(F.array(_target(F.col("src"), F.col("href")), _target(F.col("src"), F.col("to")), plain(F.col("src")))).alias("dst"))
-    return found.where("dst is not null and dst <> '' and src <> dst")
+    """Edges (src, dst): each page's canonical links, refresh redirects and og:url, absolute.
+
+    pages needs url and html; other columns are ignored. Relative links are resolved against <base>, else
+    the page's URL; what stands in comments is none. Pages without html, or whose url has no ://, have
+    no edges, nor have empty links and those of other schemes (mailto:). Repeated rows repeat their edges.
+    """
+    telling = pages.where(F.col("url").contains("://") & F.col("html").rlike("(?i)canonical|refresh|og:url"))
+    html = F.regexp_replace("html", r"(?s)<!--.*?-->", " ")
+    found = telling.select(F.col("url").alias("src"), html.alias("html"))
+
+    def of(tag: str, attribute: str) -> Column:
+        return F.transform(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, attribute, 1))
+
+    each = [of(_CANONICAL, _HREF), of(_REFRESH, _URL), of(_OG_URL, _CONTENT)]
+    found = found.select("src", F.regexp_extract("html", _BASE, 1).alias("base"), F.explode(F.concat(*each)).alias("link"))
+    found = found.withColumn("base", F.coalesce(_target(F.col("src"), F.col("base")), F.col("src")))
+    return found.select("src", _target(F.col("base"), F.col("link")).alias("dst")).where("dst is not null")
 
 
-def aliases(pages: DataFrame) -> DataFrame:
-    """links, and an edge from each link's target to its plain form."""
-    form = F.struct(F.col("dst").alias("src"), plain(F.col("dst")).alias("dst"))
-    return links(pages).select(F.explode(F.array(F.struct("src", "dst"), form)).alias("e")).select("e.src", "e.dst").where("src <> dst")
+def _named(urls: DataFrame) -> DataFrame:
+    """(url) to (url, node, check): two hashes, node one of its own for each url; where the first is shared it is mixed with the second."""
+    named = cut(urls.distinct().select("url", F.xxhash64("url").alias("node"), F.xxhash64(F.lit("check"), "url").alias("check")))
+    clash = cut(named.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node", F.lit(True).alias("clash")))
+    if clash.isEmpty():
+        return named
+    return named.join(clash, "node", "left").select("url", F.when(F.col("clash"), F.col("node").bitwiseXOR(F.col("check"))).otherwise(F.col("node")).alias("node"), "check")
 
 
 def verdicts(pages: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RULES, default: str = "allow") -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict.
 
-    pages needs page_id and url, edges src and dst (URLs); other columns are ignored. A page's rule
-    decides; without one, an allow by a rule anywhere in the component of its URL, else a block,
-    else default. A null url, or one without ://, has an empty host and path, no rule and the
-    default. Edges with a null end are dropped; an empty table of edges leaves the rules alone.
+    pages needs page_id and url, edges src and dst (URLs, as links finds them or a crawl's redirects
+    have them); other columns are ignored. URLs that differ in http or https, in the host's case or
+    in the fragment are one. A page's rule decides; without one, an allow by a rule anywhere in the
+    component of its URL, else a block, else default. A null url, or one without ://, has an empty
+    host and path, no rule and the default. Edges with a null end are dropped; an empty table of
+    edges leaves the rules alone, an empty table of pages gives no rows. Repeated pages get a row each.
     """
-    own = edges.where("src is not null and dst is not null")
-    ends = own.select(F.explode(F.array("src", "dst")).alias("url")).distinct()
-    judged = ends.select(F.xxhash64("url").alias("node"), rule_of(host(F.col("url")), path(F.col("url")), rules)["verdict"].alias("v"))
-    joined = components(own.select(F.xxhash64("src").alias("u"), F.xxhash64("dst").alias("v")))
-    passed = joined.join(judged.where("v is not null"), "node").groupBy("root").agg(F.max(F.col("v") == "allow").alias("allowed"))
-    by_alias = joined.join(passed, "root").select("node", F.when(F.col("allowed"), "allow").otherwise("block").alias("alias_verdict"))
     rows = pages.select("page_id", "url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path")).withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
-    decided = rows.where("r is not null").select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.col("r.verdict").alias("verdict"))
-    rest = rows.where("r is null").withColumn("node", F.xxhash64("url")).join(by_alias, "node", "left")
-    return decided.unionAll(rest.select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("alias_verdict", F.lit(default)).alias("verdict")))
+    own = cut(edges.where("src is not null and dst is not null").select(plain(F.col("src")).alias("src"), plain(F.col("dst")).alias("dst")).where("src <> dst").distinct())
+    shown = ["page_id", "host", "path", F.col("r.rule").alias("rule")]
+    if own.isEmpty():
+        return rows.select(*shown, F.coalesce("r.verdict", F.lit(default)).alias("verdict"))
+    ends = cut(_named(own.select(F.explode(F.array("src", "dst")).alias("url"))))
+    by = ends.select("url", "node")
+    joined = components(own.join(by.toDF("src", "u"), "src").join(by.toDF("dst", "v"), "dst").select("u", "v"))
+    # a hub's members are dealt over SALT tasks
+    members = joined.join(ends, "node").select("node", "url", "root", F.pmod(F.xxhash64("node"), F.lit(SALT)).alias("salt"))
+    judged = members.select("root", rule_of(host(F.col("url")), path(F.col("url")), rules)["verdict"].alias("v")).where("v is not null")
+    passed = judged.groupBy("root").agg(F.max(F.col("v") == "allow").alias("allowed")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
+    by_alias = members.join(passed, ["root", "salt"]).select(F.col("url").alias("__plain"), F.when(F.col("allowed"), "allow").otherwise("block").alias("alias_verdict"))
+    decided = rows.where("r is not null").select(*shown, F.col("r.verdict").alias("verdict"))
+    rest = rows.where("r is null").withColumn("__plain", plain(F.col("url"))).join(by_alias, "__plain", "left")
+    return decided.unionAll(rest.select(*shown, F.coalesce("alias_verdict", F.lit(default)).alias("verdict")))
