@@ -319,6 +319,12 @@ def test_mix(spark, odd, docs):
     want = Counter({r["doc_id"]: r["__copies"] for r in source_mix.copies(docs).collect() if r["__copies"]})
     assert mixed.columns == docs.columns and Counter(r["doc_id"] for r in mixed.collect()) == want
     assert source_mix.mixture(odd).columns == odd.columns and source_mix.mixture(odd).count() == sum(r["__copies"] for r in source_mix.copies(odd).collect())
+    same = spark.createDataFrame([(1, "a b c", "s", {"k": 1}), (1, "a b c", "s", {"k": 2}), (1, "a b c", "s", None), (1, None, "s", None), (None, None, "s", None)], "doc_id long, text string, source string, m map<string,int>")
+    assert Counter(repr(r) for r in source_mix.mixture(same, share=2.0).collect()) == Counter({repr(r): 2 for r in same.collect()})
+    many = spark.createDataFrame([(i, "w " * (i % 7 + 1), f"s{i % 41}") for i in range(400)], "doc_id long, text string, source string")
+    by = {r["source"]: r for r in source_mix.targets(many.groupBy("source").agg(F.sum(source_mix.words_in(F.col("text"))).alias("source_size"))).collect()}
+    want = plain_targets({s: r["source_size"] for s, r in by.items()})
+    assert all(r["target"] == pytest.approx(want[s]) for s, r in by.items()) and len(by) == 41
     assert source_mix.copies(empty(spark)).count() == 0 and source_mix.mixture(empty(spark)).count() == 0
 
 

@@ -82,6 +82,27 @@ def whole_groups(batches: Batches, keys: list[str]) -> Batches:
         yield pa.concat_batches(held)
 
 
+def _in_order(df: DataFrame, by: list[Column]) -> DataFrame:
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut(df).repartitionByRange(n, *by).sortWithinPartitions(*by)
+    return cut(rows.withColumn("__mid", F.monotonically_increasing_id()).withColumn("__part", F.shiftright("__mid", 33).cast("int")))
+
+
+def running(df: DataFrame, by: list[Column], sums: list[str]) -> DataFrame:
+    """df with rank, from 0, in the order by, and before_x, the sum of x in the rows before, for each x of sums.
+
+    A task sums its own stretch of the order; only a row for each task meets in one.
+    """
+    rows = _in_order(df, by)
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    per = rows.groupBy("__part").agg(F.count("*").alias("n"), F.min("__mid").alias("lo"), *(F.sum(x).alias(x) for x in sums))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    per = per.select(F.col("__part").alias("p"), "lo", zero(F.sum("n").over(earlier)).alias("n"), *(zero(F.sum(x).over(earlier)).alias(f"o_{x}") for x in sums))
+    own = Window.partitionBy("__part").orderBy("__mid").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({f"w_{x}": zero(F.sum(x).over(own)) for x in sums}).join(F.broadcast(per), F.col("__part") == F.col("p"))
+    return rows.select(*df.columns, (F.col("__mid") - F.col("lo") + F.col("n")).alias("rank"), *((F.col(f"w_{x}") + F.col(f"o_{x}")).alias(f"before_{x}") for x in sums))
+
+
 def positions(df: DataFrame, key: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rank of every row within its key without bringing a key into one task.
 
@@ -89,17 +110,11 @@ def positions(df: DataFrame, key: str, order: list[str]) -> tuple[DataFrame, Dat
     (rows, parts): rows has ``__part`` and ``__mid`` added; parts has for each (key, __part)
     ``__lo``, the first ``__mid``, and ``__before``, the key's rows in earlier parts. A row's
     rank from 0 is ``__mid - __lo + __before``. parts has at most keys + partitions rows.
-    Nulls of key are a key of their own. Rows equal in key and order are ranked arbitrarily.
+    Nulls of key are a key of their own. Rows equal in key and order are ranked arbitrarily. df is
+    kept before it is sorted, as finding the ranges would compute it once more; it should be narrow.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = [F.col(key).asc_nulls_last(), *(F.col(c).asc_nulls_last() for c in order)]
-    rows = cut(
-        df.repartitionByRange(n, *by)
-        .sortWithinPartitions(*by)
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .withColumn("__part", F.shiftright("__mid", 33).cast("int"))
-    )
+    rows = _in_order(df, by)
     per = rows.groupBy(key, "__part").agg(F.min("__mid").alias("__lo"), F.count("*").alias("__n"))
     earlier = Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     return rows, per.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")

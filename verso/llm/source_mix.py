@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import positions, rank
+from .shared import positions, rank, running
 
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2, "mix"
 #: Sources up to which the table of their parts is broadcast.
@@ -28,20 +28,18 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     Sources by code point, null last, have the weights in turn. Targets are in proportion to the
     weights and sum to share times all sizes, but stop at most times the source's own; the level
     is found in closed form: with sources by size / weight, those before the first whose limit
-    exceeds its part of the rest are at their limit.
+    exceeds its part of the rest are at their limit. An empty table gives no rows.
     """
-    weight = F.element_at(F.array(*(F.lit(w) for w in weights)), ((F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1).cast("int"))
-    ranked = sizes.withColumn("w", weight.cast("long"))
-    order = Window.orderBy(F.col("source_size") / F.col("w"), F.col("source").asc_nulls_last())
-    before, all_ = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    level = ranked.select(
-        "source", "source_size", "w",
-        (share * F.sum("source_size").over(all_) - most * F.coalesce(F.sum("source_size").over(before), F.lit(0))).alias("rest"),
-        (F.sum("w").over(all_) - F.coalesce(F.sum("w").over(before), F.lit(0))).alias("w_rest"),
-    ).withColumn("free", (most * F.col("source_size") * F.col("w_rest") >= F.col("w") * F.col("rest")).cast("boolean"))
-    per_weight = F.max_by(F.when(F.col("free"), F.col("rest") / F.col("w_rest")), F.when(F.col("free"), F.col("w_rest"))).over(all_)
+    named = F.col("source").asc_nulls_last()
+    weight = F.element_at(F.array(*(F.lit(w) for w in weights)), (F.col("rank") % len(weights) + 1).cast("int"))
+    ranked = running(sizes.select("source", "source_size"), [named], []).select("source", "source_size", weight.cast("long").alias("w"), (F.col("source_size") / weight).alias("ratio"))
+    level = running(ranked, [F.col("ratio").asc_nulls_last(), named], ["source_size", "w"])
+    whole, all_weights = level.agg(F.sum("source_size"), F.sum("w")).first()
+    level = level.withColumn("rest", share * F.lit(whole).cast("long") - most * F.col("before_source_size")).withColumn("w_rest", F.lit(all_weights).cast("long") - F.col("before_w"))
+    free = F.when(most * F.col("source_size") * F.col("w_rest") >= F.col("w") * F.col("rest"), F.col("w_rest"))
+    (per_weight,) = level.agg(F.max_by(F.col("rest") / F.col("w_rest"), free)).first()
     limit = (most * F.col("source_size")).cast("double")
-    return level.select("source", "source_size", F.coalesce(F.least(limit, F.col("w") * per_weight), limit).alias("target"))
+    return level.select("source", "source_size", F.coalesce(F.least(limit, F.col("w") * F.lit(per_weight).cast("double")), limit).alias("target"))
 
 
 def offset(seed: str = SEED) -> Column:
@@ -70,20 +68,24 @@ def copies(docs: DataFrame, size: Column | None = None, seed: str = SEED, weight
     return met.select(*named, "__size", "__source_size", "__target", crossed.cast("long").alias("__copies"))
 
 
-def _whole(docs: DataFrame) -> Column:
-    """A hash of a row's columns; maps, which have no order, are left out."""
-    return F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind))
+def _whole(docs: DataFrame) -> list[Column]:
+    """Two hashes of a row's columns; maps, which can't be hashed, as JSON."""
+    columns = [F.to_json(F.struct(c)) if "map<" in kind else F.col(c) for c, kind in docs.dtypes]
+    null = F.concat(*(F.when(F.col(c).isNull(), "1").otherwise("0") for c in docs.columns))
+    return [F.xxhash64(null, *columns).alias("__one"), F.xxhash64(F.lit("two"), *columns, null).alias("__two")]
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it.
+    """The rows of docs, each as often as the mix takes it; all columns stay.
 
-    The texts are shuffled once, by a hash of the whole row, when the copies, which are counted
-    without them, come back; rows that are equal throughout share theirs.
+    The texts are shuffled once, by two hashes of the whole row, when the copies, which are counted
+    without them, come back. Rows that are equal throughout share theirs; rows of one doc_id that differ
+    in anything, or null ids, have their own. Null text has no words, null is a source. An empty table stays empty.
     """
-    thin = docs.select("doc_id", "source", words_in(F.col("text")).alias("__n"), _whole(docs).alias("__row"))
-    taken = copies(thin, F.col("__n"), **options).groupBy(F.xxhash64("doc_id", "__row").alias("__key")).agg(F.sum("__copies").alias("__times")).where("__times > 0")
-    rows = docs.withColumn("__key", F.xxhash64("doc_id", _whole(docs))).join(taken, "__key")
-    first = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    keys = ["__one", "__two"]
+    thin = docs.select("doc_id", "source", words_in(F.col("text")).alias("__n"), *_whole(docs))
+    taken = copies(thin, F.col("__n"), **options).groupBy(*keys).agg(F.sum("__copies").alias("__times")).where("__times > 0")
+    rows = docs.select("*", *_whole(docs)).join(taken, keys)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     once = rows.withColumn("__nth", first).where("__nth = 1")
     return once.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*docs.columns)
