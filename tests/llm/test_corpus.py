@@ -626,7 +626,8 @@ def test_damaged_streams():
 
 
 @pytest.mark.parametrize("block", [1 << 16, 64])
-def test_tokens(spark, odd, docs, texts, block):
+def test_tokens(spark, odd, docs, texts, block, monkeypatch):
+    monkeypatch.setattr(token_separators, "STRETCH", 5)
     bpe = token_separators.encoding(token_separators.VOCABULARY)
     got = token_separators.token_counts(docs, block=block).collect()
     assert {r["doc_id"]: r["n_tokens"] for r in got} == {i: len(bpe.encode_ordinary(t)) for i, t in texts.items()}
@@ -641,7 +642,16 @@ def test_tokens(spark, odd, docs, texts, block):
     assert token_separators.token_counts(empty(spark)).count() == 0
 
 
-def test_token_files(spark, tmp_path):
+def test_tokens_of_other_ids(spark):
+    rows = [("a", "one two"), ("b", None), (None, "three"), ("a", "one two")]
+    bpe = token_separators.encoding(token_separators.VOCABULARY).encode_ordinary
+    got = token_separators.token_counts(spark.createDataFrame(rows, "doc_id string, text string"), block=2).collect()
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in got) == {("a", len(bpe("one two"))): 2, ("b", 0): 1, (None, len(bpe("three"))): 1}
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 1024])
+def test_token_files(spark, tmp_path, stretch, monkeypatch):
+    monkeypatch.setattr(token_separators, "STRETCH", stretch)
     rng = np.random.default_rng(6)
     want = set()
     for name, n, tail in (("a.bin", 40, 3), ("b.bin", 25, 0), ("c.bin", 0, 9)):
