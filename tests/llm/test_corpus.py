@@ -622,6 +622,36 @@ def test_damaged_streams():
     assert transport_stream.crc_mpeg(b"123456789") == 0x0376E6E7
 
 
+def test_streams_of_other_makers():
+    t = transport_stream
+    payload = t.padded(b"abcdefg" * 9000)
+    packets = list(t.mux(payload))
+    null = bytes([0x47, 0x1F, 0xFF, 0x10]) + b"\xff" * 184
+    good = t.demux(b"".join(packets))
+    assert good.clocks == [n * 3600 for n in good.random_access]
+    with_null = t.demux(b"".join(x for p in packets for x in (p, null)))
+    assert with_null.counter_errors == 0 and with_null.payload == payload
+    twice = t.demux(b"".join(p for p in packets for _ in range(2)))
+    assert twice.counter_errors == 0 and twice.payload == payload and twice.timestamps == good.timestamps
+    assert t.demux(b"".join(p for p in packets[:9] for _ in range(3))).counter_errors == 9
+    # an announced jump of the counter, on a packet of a stream's own
+    body = b"\0\0\1\xbd" + (192 + 3).to_bytes(2, "big") + b"\x84\0\0" + b"x" * 192
+    tables = packets[:2]
+    jump = [t._packet(0x100, True, 3, body[:182], 0), t._packet(0x100, False, 9, body[182:], 0x80)]
+    assert t.demux(b"".join(tables + jump)).counter_errors == 0 and t.demux(b"".join(tables + jump)).payload == b"x" * 192
+    assert t.demux(b"".join([*tables, jump[0], t._packet(0x100, False, 9, body[182:], 0)])).counter_errors == 1
+    # a program table over two packets, with a long descriptor, naming video before private data
+    wide = (0xE000 | 0x100).to_bytes(2, "big") + (0xF000 | 200).to_bytes(2, "big") + bytes(200) + bytes([0x1B, 0xE1, 0x01, 0xF0, 0, 0x06, 0xE1, 0x00, 0xF0, 0])
+    section = t._section(2, 1, wide)
+    split = [t._packet(0x1000, True, 0, section[:184]), t._packet(0x1000, False, 1, section[184:] + b"\xff" * (184 - len(section[184:])))]
+    rest = [t._packet(0x100, True, 3, body[:182], 0), t._packet(0x100, False, 4, body[182:], 0)]
+    assert t.demux(b"".join([packets[0], *split, *rest])).payload == b"x" * 192 and t.demux(b"".join([packets[0], *split, *rest])).bad_tables == 0
+    video = t._section(2, 1, (0xE000 | 0x100).to_bytes(2, "big") + b"\xf0\x00" + bytes([0x1B, 0xE1, 0x00, 0xF0, 0]))
+    only = t._packet(0x1000, True, 0, video + b"\xff" * (184 - len(video)))
+    assert t.demux(b"".join([packets[0], only, *rest])).payload == b"x" * 192
+    assert t.demux(b"".join([*tables, rest[0]])).cut_short == 1
+
+
 # --- 10
 
 

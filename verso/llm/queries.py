@@ -48,7 +48,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transport_stream.streams(table(spark, sf_dir, "documents"), media=False).drop("timestamps", "random_access")
+    return transport_stream.streams(table(spark, sf_dir, "documents"), media=False)
 
 
 def op10_token_separators(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Media columns: MPEG transport streams.
 
-mux stores bytes as one private elementary stream of one program; demux reads a stream back: it
-follows the program tables to the elementary stream, checks continuity counters and the tables'
-checksums, reassembles the elementary packets and collects timestamps and random-access points.
+mux stores bytes as one private elementary stream of one program, with a clock; demux reads a stream
+back: it follows the program tables, which may span packets, to the elementary stream, checks
+continuity counters and the tables' checksums, reassembles the elementary packets and collects
+timestamps, clock references and random-access points. Null packets, repeated packets and announced
+discontinuities are no errors.
 """
 
 from __future__ import annotations
@@ -15,10 +17,14 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shared import Batches, lean
 from .words import utf8
 
 #: Fixed values of the format, and of this stream's layout.
 PACKET, SYNC, PAT_PID, PMT_PID, STREAM_PID, PRIVATE_DATA, PRIVATE_STREAM_1 = 188, 0x47, 0, 0x1000, 0x100, 0x06, 0xBD
+NULL_PID, PADDING = 0x1FFF, 0xBE
+#: Elementary packets of these stream ids have no header of their own after their length.
+BARE = (0xBC, 0xBE, 0xBF, 0xF0, 0xF1, 0xF2, 0xF8, 0xFF)
 UNIT, UNITS, TICKS, RANDOM_ACCESS_EVERY = 192, 32, 3600, 8
 
 
@@ -51,16 +57,21 @@ _PAT = _section(0, 1, (1).to_bytes(2, "big") + (0xE000 | PMT_PID).to_bytes(2, "b
 _PMT = _section(2, 1, (0xE000 | STREAM_PID).to_bytes(2, "big") + b"\xf0\x00" + bytes([PRIVATE_DATA]) + (0xE000 | STREAM_PID).to_bytes(2, "big") + b"\xf0\x00")
 
 
-def _packet(pid: int, start: bool, counter: int, payload: bytes, flags: int | None = None) -> bytes:
-    """One packet; flags, the adaptation field's, make it have one, as do payloads that leave room."""
+def _packet(pid: int, start: bool, counter: int, payload: bytes, flags: int = 0, clock: bytes = b"") -> bytes:
+    """One packet; an adaptation field, with flags and a clock reference if there is one, fills what the payload leaves."""
     room = 184 - len(payload)
     head = bytes([SYNC, start << 6 | pid >> 8, pid & 255, (0x30 if room else 0x10) | counter])
     if not room:
         return head + payload
-    field = bytes([room - 1]) + (bytes([flags or 0]) + b"\xff" * (room - 2) if room > 1 else b"")
+    field = bytes([room - 1]) + (bytes([flags]) + clock + b"\xff" * (room - 2 - len(clock)) if room > 1 else b"")
     return head + field + payload
 
 
+def _clock(ticks: int) -> bytes:
+    """A program clock reference of so many 90 kHz ticks."""
+    return ((ticks & (1 << 33) - 1) << 15 | 0x3F << 9).to_bytes(6, "big")
+
+
 def _timestamp(ticks: int) -> bytes:
     ticks &= (1 << 33) - 1
     return bytes([0x21 | ticks >> 29 & 0x0E, ticks >> 22 & 255, 0x01 | ticks >> 14 & 0xFE, ticks >> 7 & 255, 0x01 | ticks << 1 & 0xFE])
@@ -77,8 +88,8 @@ def mux(payload: bytes) -> Iterator[bytes]:
                 yield _packet(pid, True, tables, section + b"\xff" * (184 - len(section)))
             tables = tables + 1 & 15
         data = b"\0\0\1" + bytes([PRIVATE_STREAM_1]) + (len(own) + 8).to_bytes(2, "big") + b"\x84\x80\x05" + _timestamp(n * TICKS) + own
-        size = 182 if access else 184
-        yield _packet(STREAM_PID, True, stream, data[:size], 0x40 if access else None)
+        size = 176 if access else 184
+        yield _packet(STREAM_PID, True, stream, data[:size], *((0x50, _clock(n * TICKS)) if access else ()))
         stream = stream + 1 & 15
         for i in range(size, len(data), 184):
             yield _packet(STREAM_PID, False, stream, data[i : i + 184])
@@ -89,86 +100,151 @@ class Stream(NamedTuple):
     payload: bytes
     packets: int
     programs: int
+    #: Places where packets are lost or out of order, without the sync byte or marked as damaged.
     counter_errors: int
     bad_tables: int
     timestamps: list[int]
     #: Indexes of the elementary packets at which decoding can begin.
     random_access: list[int]
+    #: Clock references in 90 kHz ticks.
+    clocks: list[int]
+    #: Elementary packets of which the end is missing.
+    cut_short: int
+
+
+class Sections:
+    """Table sections of one PID, put together from its packets."""
+
+    def __init__(self) -> None:
+        self.held = b""
+        self.open = False
+
+    def add(self, payload: bytes, start: bool, whole: bool) -> list[bytes | None]:
+        """Bodies of the sections that payload ends, None for each of a bad checksum; whole: no packet was lost before."""
+        if not whole:
+            self.open, self.held = False, b""
+        out: list[bytes | None] = []
+        if start:
+            at = 1 + payload[0]
+            if self.open:
+                self.held += payload[1:at]
+                out += self._ended()
+            self.held, self.open = payload[at:], True
+        elif self.open:
+            self.held += payload
+        else:
+            return out
+        return out + self._ended()
+
+    def _ended(self) -> list[bytes | None]:
+        out: list[bytes | None] = []
+        while len(self.held) >= 3 and self.held[0] != 0xFF:
+            size = 3 + (int.from_bytes(self.held[1:3], "big") & 0xFFF)
+            if len(self.held) < size:
+                return out
+            own, self.held = self.held[:size], self.held[size:]
+            out.append(own[8:-4] if size > 12 and crc_mpeg(own) == 0 else None)
+        if self.held[:1] == b"\xff":  # stuffing to the packet's end
+            self.held, self.open = b"", False
+        return out
+
+
+def _elementary(pes: bytes) -> tuple[bytes, int | None, bool] | None:
+    """Payload, timestamp and whether it is all there, of an elementary packet; None if it is none or padding."""
+    if pes[:3] != b"\0\0\1" or len(pes) < 6 or pes[3] == PADDING:
+        return None
+    size = int.from_bytes(pes[4:6], "big")
+    end = 6 + size if size else len(pes)
+    if pes[3] in BARE:
+        return pes[6:end], None, len(pes) >= end
+    if len(pes) < 9:
+        return None
+    time = None
+    if pes[7] & 0x80 and len(pes) >= 14:
+        t = pes[9:14]
+        time = (t[0] & 0x0E) << 29 | t[1] << 22 | (t[2] & 0xFE) << 14 | t[3] << 7 | t[4] >> 1
+    return pes[9 + pes[8] : end], time, len(pes) >= end
 
 
 def demux(data: bytes) -> Stream:
-    """The elementary stream of the first program with private data. Packets without the sync byte are counted as errors."""
-    pmt_pids: dict[int, int] = {}
-    pid_wanted: int | None = None
-    counters: dict[int, int] = {}
-    errors = bad = packets = 0
+    """The elementary stream of the first program: its first with private data, else its first."""
+    programs: dict[int, int] = {}
+    wanted: int | None = None
+    last: dict[int, tuple[int, bytes, bool]] = {}  # counter, payload, whether it came twice
+    tables: dict[int, Sections] = {}
+    errors = bad = packets = short = 0
     held: list[bytes] = []
     parts: list[bytes] = []
     times: list[int] = []
     accesses: list[int] = []
+    clocks: list[int] = []
 
     def flush() -> None:
-        if not held:
-            return
-        pes = b"".join(held)
+        nonlocal short
+        found = _elementary(b"".join(held)) if held else None
         held.clear()
-        if pes[:3] != b"\0\0\1" or len(pes) < 9:
-            return
-        if pes[7] & 0x80:
-            t = pes[9:14]
-            times.append((t[0] & 0x0E) << 29 | t[1] << 22 | (t[2] & 0xFE) << 14 | t[3] << 7 | t[4] >> 1)
-        size = int.from_bytes(pes[4:6], "big")
-        parts.append(pes[9 + pes[8] : 6 + size if size else None])
-
-    def section(body: bytes) -> bytes | None:
-        own = body[1 + body[0] :]
-        own = own[: 3 + (int.from_bytes(own[1:3], "big") & 0xFFF)]
-        return own[8:-4] if len(own) > 12 and crc_mpeg(own) == 0 else None
+        if found:
+            payload, time, whole = found
+            short += not whole
+            parts.append(payload)
+            if time is not None:
+                times.append(time)
 
     for at in range(0, len(data), PACKET):
         p = data[at : at + PACKET]
         packets += 1
-        if len(p) < PACKET or p[0] != SYNC:
+        if len(p) < PACKET or p[0] != SYNC or p[1] & 0x80:
             errors += 1
             continue
-        pid, start, kind = (p[1] & 0x1F) << 8 | p[2], p[1] & 0x40, p[3] & 0x30
-        body, access = 4, False
+        pid, start, kind, count = (p[1] & 0x1F) << 8 | p[2], p[1] & 0x40, p[3] & 0x30, p[3] & 15
+        if pid == NULL_PID:
+            continue
+        body = 4
+        flags = 0
         if kind & 0x20:
             body = 5 + p[4]
-            access = p[4] > 0 and bool(p[5] & 0x40)
-        if not kind & 0x10:
+            flags = p[5] if p[4] else 0
+        payload = p[body:]
+        if not kind & 0x10 or not payload:
             continue
-        count = p[3] & 15
-        if pid in counters and count != counters[pid] + 1 & 15:
-            errors += 1
-        counters[pid] = count
-        if pid == pid_wanted:
+        whole = True
+        if pid in last and not flags & 0x80:
+            before, same, twice = last[pid]
+            if count == before and payload == same and not twice:
+                last[pid] = count, payload, True
+                continue
+            whole = count == before + 1 & 15
+            errors += not whole
+        last[pid] = count, payload, False
+        if flags & 0x10 and len(p) > 11 and p[4] >= 7:
+            clocks.append(int.from_bytes(p[6:12], "big") >> 15)
+        if pid == wanted:
             if start:
                 flush()
-                if access:
+                if flags & 0x40:
                     accesses.append(len(parts))
-            held.append(p[body:])
-        elif start and pid == PAT_PID:
-            if (s := section(p[body:])) is None:
-                bad += 1
-            else:
-                pmt_pids |= {int.from_bytes(s[i + 2 : i + 4], "big") & 0x1FFF: int.from_bytes(s[i : i + 2], "big") for i in range(0, len(s) - 3, 4)}
-        elif start and pid in pmt_pids:
-            if (s := section(p[body:])) is None:
-                bad += 1
-                continue
-            i = 4 + (int.from_bytes(s[2:4], "big") & 0xFFF)
-            while i + 5 <= len(s):
-                if s[i] == PRIVATE_DATA and pid_wanted is None:
-                    pid_wanted = int.from_bytes(s[i + 1 : i + 3], "big") & 0x1FFF
-                i += 5 + (int.from_bytes(s[i + 3 : i + 5], "big") & 0xFFF)
+            held.append(payload)
+        elif pid == PAT_PID or pid in programs:
+            for s in tables.setdefault(pid, Sections()).add(payload, bool(start), whole):
+                if s is None:
+                    bad += 1
+                elif pid == PAT_PID:
+                    pairs = [(int.from_bytes(s[i : i + 2], "big"), int.from_bytes(s[i + 2 : i + 4], "big") & 0x1FFF) for i in range(0, len(s) - 3, 4)]
+                    programs |= {where: number for number, where in pairs if number}
+                elif wanted is None:
+                    kinds = []
+                    i = 4 + (int.from_bytes(s[2:4], "big") & 0xFFF)
+                    while i + 5 <= len(s):
+                        kinds.append((s[i] != PRIVATE_DATA, len(kinds), int.from_bytes(s[i + 1 : i + 3], "big") & 0x1FFF))
+                        i += 5 + (int.from_bytes(s[i + 3 : i + 5], "big") & 0xFFF)
+                    wanted = min(kinds)[2] if kinds else None
     flush()
-    return Stream(b"".join(parts), packets, len(pmt_pids), errors, bad, times, accesses)
+    return Stream(b"".join(parts), packets, len(programs), errors, bad, times, accesses, clocks, short)
 
 
 def feature(s: Stream) -> str:
     ends = f"{s.timestamps[0]}..{s.timestamps[-1]}" if s.timestamps else "none"
-    return f"mpegts packets={s.packets} programs={s.programs} pes={len(s.timestamps)} pts={ends} random_access={len(s.random_access)} counter_errors={s.counter_errors} bad_tables={s.bad_tables}"
+    return f"mpegts packets={s.packets} programs={s.programs} pes={len(s.timestamps)} pts={ends} clocks={len(s.clocks)} random_access={len(s.random_access)} counter_errors={s.counter_errors} bad_tables={s.bad_tables} cut_short={s.cut_short}"
 
 
 def padded(data: bytes) -> bytes:
@@ -186,7 +262,8 @@ def streams(docs: DataFrame, media: bool = True) -> DataFrame:
     """
     fields = [("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("timestamps", pa.list_(pa.int64())), ("random_access", pa.list_(pa.int64())), ("media", pa.binary())][: 10 if media else 9]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @lean
+    def run(batches: Batches) -> Batches:
         for batch in batches:
             rows = []
             for data in utf8(batch.column("text")):
