@@ -54,6 +54,8 @@ def with_hits(docs: DataFrame, grams: DataFrame, n: int = 10, max_grams: int = 1
     """docs with __n_words and __hits, a sorted array of (start, size, gram) of windows in the benchmark.
 
     Rows keep their columns and partitions unless the benchmark has over max_grams distinct windows.
+    Null and empty texts have no words and no hits, nor have any texts where the benchmark is empty;
+    repeated rows have equal hits, and an empty table gives no rows.
     """
     # a generator, as a filter on what follows would otherwise repeat the tokenising in each of its terms
     tokens = docs.withColumn("__w", F.explode(F.array(words(F.col("text")))))
@@ -76,17 +78,26 @@ def with_hits(docs: DataFrame, grams: DataFrame, n: int = 10, max_grams: int = 1
     return tokens.select(*docs.columns, F.size("__w").alias("__n_words"), hits.alias("__hits"))
 
 
+def _names(c: Column) -> list[Column]:
+    return [F.xxhash64(c).alias("__one"), F.xxhash64(F.lit("two"), c).alias("__two")]
+
+
 def _shuffled(docs: DataFrame, grams: DataFrame, n: int) -> DataFrame:
-    """with_hits by a shuffle join of all windows; for benchmarks that are too large to broadcast."""
-    rows = docs.withColumn("__row", F.monotonically_increasing_id()).withColumn("__w", F.explode(F.array(words(F.col("text")))))
-    sizes = F.array(*(F.lit(k) for k in range(1, n + 1)))
-    short = grams.where(F.col("size") < n).select("size").distinct().agg(F.coalesce(F.array_append(F.collect_list("size"), n), sizes)).first()[0]
-    each = rows.select("__row", "__w", F.explode(F.array(*(F.lit(k) for k in sorted(short)))).alias("size")).where(F.size("__w") >= F.col("size"))
-    each = each.select("__row", "size", F.explode(F.transform(F.sequence(F.lit(0), F.size("__w") - F.col("size")), lambda s: F.struct(s.alias("start"), gram(F.col("__w"), s, F.col("size")).alias("gram")))).alias("x"))
-    met = each.select("__row", F.struct(F.col("x.start").alias("start"), "size", F.col("x.gram").alias("gram")).alias("x")).join(grams.select(F.col("gram").alias("g"), F.col("size").alias("s")), (F.col("x.gram") == F.col("g")) & (F.col("x.size") == F.col("s")), "left_semi")
-    hits = met.groupBy("__row").agg(F.array_sort(F.collect_list("x")).alias("__hits"))
-    none = F.array().cast("array<struct<start:int,size:int,gram:string>>")
-    return rows.join(hits, "__row", "left").select(*docs.columns, F.size("__w").alias("__n_words"), F.coalesce("__hits", none).alias("__hits"))
+    """with_hits by a shuffle join of the windows of each distinct text; for benchmarks that are too large to broadcast.
+
+    Windows travel as two hashes, texts are named by two of their own; equal texts are looked up once.
+    """
+    keys = ["__one", "__two"]
+    sizes = [r["size"] for r in grams.select("size").distinct().collect()]  # 1 to n
+    texts = docs.select("text", *_names(F.coalesce("text", F.lit("")))).groupBy(*keys).agg(F.first("text").alias("text"))
+    each = texts.select(*keys, F.explode(F.array(words(F.col("text")))).alias("__w")).withColumn("size", F.explode(F.array(*map(F.lit, sizes)))).where(F.size("__w") >= F.col("size"))
+    starts = F.transform(F.sequence(F.lit(0), F.size("__w") - F.col("size")), lambda s: F.struct(s.alias("start"), gram(F.col("__w"), s, F.col("size")).alias("gram")))
+    each = each.select(*keys, "size", F.explode(starts).alias("x")).select(*keys, "size", "x.start", *(c.alias(k) for c, k in zip(_names(F.col("x.gram")), ("g1", "g2"), strict=True)))
+    wanted = grams.select("size", *(c.alias(k) for c, k in zip(_names(F.col("gram")), ("g1", "g2"), strict=True)))
+    hits = each.join(wanted, ["size", "g1", "g2"], "left_semi").groupBy(*keys).agg(F.collect_list(F.struct("start", "size")).alias("__at"))
+    rows = docs.select("*", *_names(F.coalesce("text", F.lit("")))).join(hits, keys, "left").withColumn("__w", F.explode(F.array(words(F.col("text")))))
+    found = F.transform(F.coalesce("__at", F.array().cast("array<struct<start:int,size:int>>")), lambda x: F.struct(x["start"].alias("start"), x["size"].alias("size"), gram(F.col("__w"), x["start"], x["size"]).alias("gram")))
+    return rows.select(*docs.columns, F.size("__w").alias("__n_words"), F.array_sort(found).alias("__hits"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_grams: int = 100_000) -> DataFrame:
@@ -105,13 +116,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_grams:
 
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_grams: int = 100_000) -> DataFrame:
-    """The rows of docs in whose text no window of the benchmark occurs; all columns stay."""
+    """The rows of docs in whose text no window of the benchmark occurs; all columns stay.
+
+    Null and empty texts stay, as does all where the benchmark is empty; repeated rows stay or go together.
+    """
     grams = test_grams(benchmark.select("item_id", "text"), n)
     return with_hits(docs, grams, n, max_grams).where(F.size("__hits") == 0).select(*docs.columns)
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_grams: int = 100_000) -> DataFrame:
-    """docs with clean_words: the text's words without those inside a window of the benchmark."""
+    """docs with clean_words: the text's words without those inside a window of the benchmark.
+
+    A column of that name is replaced. Null and empty texts have ''. Repeated rows are equal; an empty table gives no rows.
+    """
+    docs = docs.drop("clean_words")
     grams = test_grams(benchmark.select("item_id", "text"), n)
     rows = with_hits(docs, grams, n, max_grams)
     kept = F.filter(words(F.col("text")), lambda w, i: ~F.exists("__hits", lambda x: (x["start"] <= i) & (i < x["start"] + x["size"])))
