@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Fixed values.
 WIDE, NARROW = "mwMW—–", "iljtfrI!.,;:'\"’‘“”()[]|"
+#: Rough widths of these, of other capitals and digits, and of the rest.
+GLYPHS = (1.9, 0.55, 1.25, 1.0)
 
 
 def half_even(x: Column) -> Column:
@@ -47,7 +49,8 @@ def glyph_weight(text: Column) -> Column:
     narrow = "[" + "".join("\\" + c if c in "[]|().'\"" else c for c in NARROW) + "]"
     wide_n, narrow_n = _count(text, f"[{WIDE}]"), _count(text, narrow)
     tall_n = _count(text, r"[\p{Lu}\p{Nd}]") - _count(text, "[MWI]")
-    return 1.9 * wide_n + 0.55 * narrow_n + 1.25 * tall_n + 1.0 * (F.char_length(text) - wide_n - narrow_n - tall_n)
+    rest = F.char_length(text) - wide_n - narrow_n - tall_n
+    return sum((F.lit(g) * n for g, n in zip(GLYPHS[1:], (narrow_n, tall_n, rest), strict=True)), GLYPHS[0] * wide_n)
 
 
 def alnum_length(text: Column) -> Column:
@@ -71,6 +74,21 @@ def stretched(value: Column, mean: Column, deviation: Column) -> Column:
     return F.floor(clamp((value - (white - span)) * 255.0 / span, 0.0, 255.0)).cast("int")
 
 
+def bottom_left_box(x: Column, y: Column, w: Column, h: Column, width: Column, height: Column) -> Column:
+    """A box given by shares of the page, y from the bottom up, in pixels from the top: struct(x0, y0, x1, y1), rounded half to even."""
+    return F.struct(half_even(x * width).alias("x0"), half_even((1 - y - h) * height).alias("y0"), half_even((x + w) * width).alias("x1"), half_even((1 - y) * height).alias("y1"))
+
+
+def faded(value: Column, paper: Column | int, share: float = 0.62) -> Column:
+    """A pixel drawn towards the paper's colour, 0 to 255, cut to a whole number."""
+    return F.floor(value + (paper - value) * share).cast("int")
+
+
+def over(value: Column, colour: Column, alpha: Column) -> Column:
+    """A colour of opacity alpha, 0 to 255, laid over a pixel; no colour leaves it."""
+    return F.when(colour.isNull(), value).otherwise(half_even((colour * alpha + value * (255 - alpha)) / 255.0))
+
+
 def padded_path(prefix: str, n: Column, suffix: str) -> Column:
     """prefix, n with at least four digits, suffix; longer numbers are not cut."""
     s = n.cast("string")

@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 def missing_pages(pages: DataFrame, first: int, last: int) -> DataFrame:
     """(page_num, kind): numbers of the range without a row, and rows outside the range."""
     wanted = pages.sparkSession.range(first, last + 1).select(F.col("id").alias("page_num"))
-    have = pages.select(F.col("page_num").cast("long").alias("page_num"))
-    return wanted.subtract(have).withColumn("kind", F.lit("missing")).unionAll(have.subtract(wanted).withColumn("kind", F.lit("extra")))
+    return page_difference(pages.select(F.col("page_num").cast("long").alias("page_num")), wanted)
+
+
+def page_difference(have: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(page_num, kind): pages that only wanted has, missing, and those that only have has, extra."""
+    a, b = wanted.select("page_num").distinct(), have.select("page_num").distinct()
+    return a.subtract(b).withColumn("kind", F.lit("missing")).unionAll(b.subtract(a).withColumn("kind", F.lit("extra")))
 
 
 def pages_without_row(corrections: DataFrame, pages: DataFrame) -> DataFrame:
@@ -57,11 +62,24 @@ def ports_without_node(docks: DataFrame, ports: str = "ports") -> DataFrame:
     return docks.where(~F.forall(ports, lambda p: p["node_id"].isNotNull())).select("word_id")
 
 
-def header_numbers(words: DataFrame) -> DataFrame:
-    """(page_num, numbered, matched): whether lines 0 and 1 have digits, and the page's number among them."""
-    top = words.where("line_idx <= 1").groupBy("page_num").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_idx", "bbox_x0", "id", "text"))), lambda x: x["text"]), " ").alias("t"))
+def header_numbers(words: DataFrame, number: Column | None = None) -> DataFrame:
+    """(page_num, numbered, matched): whether lines 0 to 2 have digits, and the page's number among them; number, if it isn't page_num."""
+    top = words.where("line_idx <= 2").groupBy("page_num").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_idx", "bbox_x0", "id", "text"))), lambda x: x["text"]), " ").alias("t"))
     digits = F.regexp_extract_all("t", F.lit(r"\d+"), 0)
-    return top.select("page_num", (F.size(digits) > 0).alias("numbered"), F.array_contains(digits, F.col("page_num").cast("string")).alias("matched"))
+    return top.select("page_num", (F.size(digits) > 0).alias("numbered"), F.array_contains(digits, (F.col("page_num") if number is None else number).cast("string")).alias("matched"))
+
+
+def rate(found: DataFrame) -> DataFrame:
+    """header_numbers to one row (numbered, matched, rate): pages with digits, those with their own number, and the share; 0 if there are none."""
+    sums = found.agg(F.coalesce(F.sum(F.col("numbered").cast("long")), F.lit(0)).alias("numbered"), F.coalesce(F.sum((F.col("numbered") & F.col("matched")).cast("long")), F.lit(0)).alias("matched"))
+    return sums.withColumn("rate", F.when(F.col("numbered") > 0, F.col("matched") / F.col("numbered")).otherwise(0.0))
+
+
+def poorly_numbered(words: DataFrame, least: float = 0.85) -> DataFrame:
+    """The pages whose header has digits but not the page's number, where they are so many that the rate is under least."""
+    found = header_numbers(words)
+    low = rate(found).where(F.col("rate") < least).select("rate")
+    return found.where("numbered and not matched").crossJoin(F.broadcast(low)).select("page_num")
 
 
 def missing_images(pages: DataFrame, images: DataFrame) -> DataFrame:

@@ -41,6 +41,32 @@ def shadow_edge(profiles: DataFrame, key: str, at: str, value: str, low_edge: bo
     return sides.where(dark).select(key, (F.col("peak") + 1).alias("cut"))
 
 
+def shadow_regions(pixels: DataFrame, text: DataFrame, valid: DataFrame, strip: int = STRIP, margin: int = MARGIN) -> DataFrame:
+    """(page_num, x0, y0, x1, y1): the dark margins beside a page's text box, up to four, for whitewash.
+
+    text and valid are boxes (page_num, x0, y0, x1, y1). On each side where the text is over margin from the
+    valid region's edge, the mean of the strip next to the text, strip wide at most, is searched for a
+    shadow's edge. What is cut is between the valid region's edge and that place. Fixed rule: on the left
+    and at the top the profile runs from the text outwards and is judged as if it began at the page's edge.
+    """
+    b = text.join(valid.select("page_num", *(F.col(c).alias("v" + c) for c in ("x0", "y0", "x1", "y1"))), "page_num")
+    out = None
+    for side, axis, low, depth in (("left", "x", True, F.col("x0") - F.col("vx0")), ("right", "x", False, F.col("vx1") - F.col("x1")), ("top", "y", True, F.col("y0") - F.col("vy0")), ("bottom", "y", False, F.col("vy1") - F.col("y1"))):
+        other = "y" if axis == "x" else "x"
+        near = b.where(depth > margin).withColumn("d", F.least(F.lit(strip), depth))
+        begin = F.col(f"{axis}0") - F.col("d") if low else F.col(f"{axis}1")
+        near = near.select("page_num", "x0", "y0", "x1", "y1", "vx0", "vy0", "vx1", "vy1", "d", begin.alias("begin"))
+        own = pixels.withColumnsRenamed({"x": "px", "y": "py"}).join(near, "page_num")
+        own = own.where((F.col("p" + axis) >= F.col("begin")) & (F.col("p" + axis) < F.col("begin") + F.col("d")) & (F.col("p" + other) >= F.col(other + "0")) & (F.col("p" + other) < F.col(other + "1")))
+        place = F.col("begin") + F.col("d") - 1 - F.col("p" + axis) if low else F.col("p" + axis) - F.col("begin")
+        profiles = own.groupBy("page_num", place.alias("at")).agg(F.avg("value").alias("v"))
+        cut = near.join(shadow_edge(profiles, "page_num", "at", "v", low), "page_num").withColumn("cut", F.col("begin") + F.col("cut"))
+        box = {"left": ("vx0", "y0", "cut", "y1"), "right": ("cut", "y0", "vx1", "y1"), "top": ("x0", "vy0", "x1", "cut"), "bottom": ("x0", "cut", "x1", "vy1")}[side]
+        one = cut.select("page_num", F.lit(side).alias("side"), *(F.col(c).alias(n) for c, n in zip(box, ("x0", "y0", "x1", "y1"), strict=True)))
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
 def moving_max_2d(pixels: DataFrame, reach: int = 40) -> DataFrame:
     """The greatest value in a square around each pixel, one direction after the other."""
     across = F.max("value").over(Window.partitionBy("page_num", "y").orderBy("x").rowsBetween(-reach, reach))
@@ -81,6 +107,26 @@ def without_stamp(pixels: DataFrame, stamps: DataFrame, offsets: DataFrame, heig
     return own.withColumn("value", F.when(F.col("y") >= F.col("top"), 255).otherwise(F.col("value"))).drop("top")
 
 
+def pasted(pixels: DataFrame, offsets: DataFrame, out_w: int, out_h: int) -> DataFrame:
+    """Images pasted at the rounded offset (page_num, dx, dy) of their page; what falls outside the canvas goes.
+
+    The rest of the canvas has no rows; its colour is the caller's.
+    """
+    own = pixels.join(offsets.select("page_num", "dx", "dy"), "page_num")
+    at = own.select("page_num", (F.col("y") + F.bround("dy").cast("int")).alias("y"), (F.col("x") + F.bround("dx").cast("int")).alias("x"), "value")
+    return at.where((F.col("x") >= 0) & (F.col("y") >= 0) & (F.col("x") < out_w) & (F.col("y") < out_h))
+
+
+def layered(pixels: DataFrame, overlay: DataFrame, paper: int = 244) -> DataFrame:
+    """pixels faded towards paper, with an overlay (page_num, y, x, colour, alpha) on them; an overlay's later rows, by its layer, lie over earlier ones."""
+    from ..functions.columns import faded, over
+
+    each = overlay.groupBy("page_num", "y", "x").agg(F.transform(F.sort_array(F.collect_list(F.struct("layer", "colour", "alpha"))), lambda o: o).alias("o"))
+    base = pixels.join(each, ["page_num", "y", "x"], "left").withColumn("value", faded(F.col("value"), paper))
+    laid = F.aggregate(F.coalesce("o", F.array().cast("array<struct<layer:int,colour:int,alpha:int>>")), F.col("value"), lambda v, o: over(v, o["colour"], o["alpha"]))
+    return base.select("page_num", "y", "x", laid.alias("value"))
+
+
 def shifted(pixels: DataFrame, dy: int, height: int) -> DataFrame:
     """The image moved down by dy; what comes in is 255."""
     return pixels.withColumn("y", F.pmod(F.col("y") + dy, F.lit(height))).withColumn("value", F.when((F.col("y") < dy) | (F.col("y") >= height + dy), 255).otherwise(F.col("value")))
@@ -140,6 +186,18 @@ def normalise_images(images: DataFrame, reach: int = 40, sigma: float = 60, k: i
     return images.select("page_num", "width", "height", "gray").mapInPandas(run, "page_num long, width int, height int, gray binary")
 
 
+def rotate_images(images: DataFrame, angles: DataFrame) -> DataFrame:
+    """images (page_num, width, height, gray: bytes) turned by their page's angle; pages without one are left alone."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [np.clip(np.rint(rotated(np.frombuffer(r.gray, np.uint8).reshape(r.height, r.width).astype(np.float64), r.angle)), 0, 255).astype(np.uint8).tobytes() for r in batch.itertuples()]
+            yield batch[["page_num", "width", "height"]].assign(gray=out)
+
+    own = images.join(angles.select("page_num", "angle"), "page_num", "left").withColumn("angle", F.coalesce("angle", F.lit(0.0)))
+    return own.select("page_num", "width", "height", "gray", "angle").mapInPandas(run, "page_num long, width int, height int, gray binary")
+
+
 def rotated(gray: np.ndarray, degrees: float) -> np.ndarray:
     """The image turned about its centre by linear sampling; what comes in has the value of pixel (5, 5)."""
     if abs(degrees) < 0.005:

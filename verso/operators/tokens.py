@@ -36,6 +36,27 @@ def attach_dashes(pieces: DataFrame) -> DataFrame:
     )
 
 
+#: What dashes weigh where a box is shared out among the pieces of a split token.
+DASHES = {"—": 2.5, "–": 2.0}
+
+
+def dash_weight(piece: Column) -> Column:
+    """A piece's width: 1 for each character, more for dashes."""
+    return F.aggregate(F.split(piece, ""), F.lit(0.0).cast("double"), lambda a, c: a + F.when(c == "", 0.0).when(c == "—", DASHES["—"]).when(c == "–", DASHES["–"]).otherwise(1.0))
+
+
+def dash_shares(pieces: Column, x0: Column, x1: Column) -> Column:
+    """A box's parts for the pieces of a token, by dash_weight: structs (text, x0, x1), rounded half to even."""
+    whole = F.aggregate(pieces, F.lit(0.0).cast("double"), lambda a, p: a + dash_weight(p))
+
+    def part(p: Column, i: Column) -> Column:
+        before = F.aggregate(F.slice(pieces, F.lit(1), i), F.lit(0.0).cast("double"), lambda a, s: a + dash_weight(s))
+        edge = lambda share: F.bround(x0 + (x1 - x0) * share / whole).cast("int")
+        return F.struct(p.alias("text"), edge(before).alias("x0"), edge(before + dash_weight(p)).alias("x1"))
+
+    return F.transform(pieces, part)
+
+
 def shares(texts: Column, x0: Column, x1: Column, space: float = 0.4) -> Column:
     """A box's parts for texts, by their lengths with space between: structs (text, x0, x1), rounded half to even."""
     letters = F.aggregate(texts, F.lit(0), lambda a, t: a + F.char_length(t))

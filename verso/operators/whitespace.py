@@ -56,8 +56,10 @@ def river_scores(slits: DataFrame, reach: float = 4.0) -> DataFrame:
     centre = slits.select("page_num", "gutter_id", F.col("line_idx_a").alias("line"), ((F.col("x0") + F.col("x1")) / 2).alias("cx"))
     other = centre.select("page_num", F.col("gutter_id").alias("o_id"), F.col("line").alias("o_line"), F.col("cx").alias("ox"))
     met = band_pairs(centre, other, ["page_num"], "cx", "ox", reach).where("line <> o_line")
-    spans = met.groupBy("page_num", "gutter_id").agg((F.countDistinct("o_line") + 1).alias("n")).where("n >= 3").withColumn("score", F.least(F.lit(1.0), (F.col("n") - 2) / 4.0))
-    spread = met.join(spans, ["page_num", "gutter_id"]).select("page_num", F.col("o_id").alias("gutter_id"), "score").unionAll(spans.select("page_num", "gutter_id", "score"))
+    # a slit's neighbours are those of its page, so the join is made once and its pairs folded at once
+    near = met.groupBy("page_num", "gutter_id").agg((F.size(F.collect_set("o_line")) + 1).alias("n"), F.collect_set("o_id").alias("ids")).where("n >= 3")
+    score = F.least(F.lit(1.0), (F.col("n") - 2) / 4.0).alias("score")
+    spread = near.select("page_num", score, F.explode(F.array_append("ids", F.col("gutter_id"))).alias("gutter_id"))
     best = spread.groupBy("page_num", "gutter_id").agg(F.max("score").alias("river_score"))
     return slits.join(best, ["page_num", "gutter_id"], "left").withColumn("river_score", F.coalesce("river_score", F.lit(0.0)))
 

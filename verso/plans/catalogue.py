@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import columns, geometry, noise
 from ..operators import chunks, export, graph, layout, ordered, outlines, quality, raster, recognition, search, tokens, whitespace
 from ..sources import typeset, wire
+from ..keep import keep
 from .sql import _in, sql
 from .tables import Tables
 
@@ -302,7 +303,8 @@ def breathing(t: Tables) -> DataFrame:
 
 _RIVER = """
     sc AS (SELECT page_num, gutter_id, line_idx_a AS line, (x0 + x1) / 2.0::DOUBLE AS cx FROM vs),
-    pr AS (SELECT a.page_num, a.gutter_id, b.gutter_id AS o_id, b.line AS o_line FROM sc a JOIN sc b ON a.page_num = b.page_num AND a.line <> b.line AND abs(a.cx - b.cx) <= 4),
+    sb AS (SELECT *, floor(cx / 4) + unnest([-1, 0, 1]) AS k FROM sc),
+    pr AS MATERIALIZED (SELECT a.page_num, a.gutter_id, b.gutter_id AS o_id, b.line AS o_line FROM sb a JOIN sc b ON a.page_num = b.page_num AND a.k = floor(b.cx / 4) AND a.line <> b.line AND abs(a.cx - b.cx) <= 4),
     cl AS (SELECT page_num, gutter_id, least(1.0::DOUBLE, (count(DISTINCT o_line) - 1) / 4.0::DOUBLE) AS score FROM pr GROUP BY page_num, gutter_id HAVING count(DISTINCT o_line) >= 2),
     rs AS (SELECT page_num, gutter_id, max(score) AS score FROM (SELECT page_num, gutter_id, score FROM cl UNION ALL SELECT pr.page_num, o_id, score FROM pr JOIN cl USING (page_num, gutter_id)) GROUP BY page_num, gutter_id),
     rv AS (SELECT vs.*, coalesce(score, 0.0) AS river_score FROM vs LEFT JOIN rs USING (page_num, gutter_id))"""
@@ -313,7 +315,7 @@ def river_cluster(t: Tables) -> DataFrame:
     return t.rivers.select("page_num", "gutter_id", "river_score")
 
 
-@query("SELECT id, bbox_x0 - 1 AS x0, bbox_y0 - 1 AS y0, bbox_x1 + 1 AS x1, bbox_y1 + 1 AS y1 FROM words WHERE id NOT IN (SELECT id FROM words WHERE length(text) > 6)")
+@query("SELECT id, bbox_x0 - 1 AS x0, bbox_y0 - 1 AS y0, bbox_x1 + 1 AS x1, bbox_y1 + 1 AS y1 FROM words ANTI JOIN (SELECT id FROM words WHERE length(text) > 6) USING (id)")
 def obstacles_anti(t: Tables) -> DataFrame:
     left = export.without_pages(t.words, t.words.where(F.char_length("text") > 6), "id")
     return left.select("id", *((F.col(f"bbox_{e}") + (1 if e[1] == "1" else -1)).alias(e) for e in ("x0", "y0", "x1", "y1")))
@@ -365,10 +367,10 @@ def port_pairs_argmin(t: Tables) -> DataFrame:
 
 
 @query("""
-    WITH h AS (SELECT page_num FROM pg WHERE page_num % 3 <> 0)
-    SELECT range AS page_num, 'missing' AS kind FROM range(0, 2000) WHERE range NOT IN (SELECT page_num FROM h) UNION ALL SELECT page_num, 'extra' FROM h WHERE page_num >= 2000""")
+    WITH h AS (SELECT page_num FROM pg WHERE page_num % 3 <> 0), w AS (SELECT DISTINCT page_num FROM words WHERE page_num % 5 <> 0)
+    SELECT page_num, 'missing' AS kind FROM w ANTI JOIN h USING (page_num) UNION ALL SELECT page_num, 'extra' FROM h ANTI JOIN w USING (page_num)""")
 def page_set_difference(t: Tables) -> DataFrame:
-    return quality.missing_pages(t.pages.where("page_num % 3 <> 0"), 0, 1999)
+    return quality.page_difference(t.pages.where("page_num % 3 <> 0"), t.words.select("page_num").distinct().where("page_num % 5 <> 0"))
 
 
 @query("SELECT page_num, image_path FROM pg WHERE page_num = 100000")
@@ -395,10 +397,10 @@ def line_groups(t: Tables) -> DataFrame:
     return search.line_texts(t.words).select("page_num", "line_idx", F.array_join("texts", " ").alias("line"))
 
 
-@query("SELECT page_num, string_agg(text, ' ' ORDER BY line_idx, bbox_x0, id) AS header FROM words WHERE line_idx <= 1 GROUP BY page_num")
+@query("SELECT page_num, string_agg(text, ' ' ORDER BY line_idx, bbox_x0, id) AS header FROM words WHERE line_idx <= 2 GROUP BY page_num")
 def header_text(t: Tables) -> DataFrame:
     w = F.sort_array(F.collect_list(F.struct("line_idx", "bbox_x0", "id", "text")))
-    return t.words.where("line_idx <= 1").groupBy("page_num").agg(F.array_join(F.transform(w, lambda x: x["text"]), " ").alias("header"))
+    return t.words.where("line_idx <= 2").groupBy("page_num").agg(F.array_join(F.transform(w, lambda x: x["text"]), " ").alias("header"))
 
 
 @query("SELECT token, string_agg(page_num || ':' || cnt, ',' ORDER BY cnt DESC, page_num) AS postings FROM (SELECT lower(text) AS token, page_num, count(*) AS cnt FROM words GROUP BY 1, 2) GROUP BY token")
@@ -993,7 +995,7 @@ def page_json(t: Tables) -> DataFrame:
 
 # --- checks ---
 
-_NUMBERS = "hn AS (SELECT page_num, len(d) > 0 AS numbered, list_contains(d, (page_num // 100000)::VARCHAR) AS matched FROM (SELECT page_num, regexp_extract_all(string_agg(text, ' ' ORDER BY line_idx, bbox_x0, id), '[0-9]+') AS d FROM words WHERE line_idx <= 1 GROUP BY page_num))"
+_NUMBERS = "hn AS (SELECT page_num, len(d) > 0 AS numbered, list_contains(d, (page_num // 100000)::VARCHAR) AS matched FROM (SELECT page_num, regexp_extract_all(string_agg(text, ' ' ORDER BY line_idx, bbox_x0, id), '[0-9]+') AS d FROM words WHERE line_idx <= 2 GROUP BY page_num))"
 
 
 @query(rf"WITH {_NUMBERS.replace('(page_num // 100000)', 'page_num')} SELECT page_num, numbered, matched FROM hn")
@@ -1012,15 +1014,104 @@ def json_parses(t: Tables) -> DataFrame:
     return t.read("lineitem").select("l_orderkey", "l_linenumber", quality.unparsed(j).alias("bad"))
 
 
-@query("""
+@query(rf"WITH {_NUMBERS.replace('page_num // 100000', 'page_num % 10')} SELECT count(*) FILTER (numbered)::BIGINT AS numbered, count(*) FILTER (numbered AND matched)::BIGINT AS matched, CASE WHEN count(*) FILTER (numbered) > 0 THEN count(*) FILTER (numbered AND matched) / count(*) FILTER (numbered)::DOUBLE ELSE 0 END::DOUBLE AS rate FROM hn")
+def header_rate(t: Tables) -> DataFrame:
+    """Against the last digit of the page's number, which these pages have more often."""
+    found = quality.header_numbers(t.words, F.col("page_num") % 10)
+    return quality.rate(found)
+
+
+def _graph(t: Tables) -> DataFrame:
+    """The page graph without the edges of every third page."""
+    g = graph.adjacency(t.nodes, t.edges)
+    return g.withColumn("edges", F.when(F.col("page_num") % 3 == 0, F.slice("edges", 1, 0)).otherwise(F.col("edges")))
+
+
+@query("SELECT DISTINCT page_num FROM words WHERE page_num % 3 = 0")
+def edgeless_pages(t: Tables) -> DataFrame:
+    return quality.edgeless(_graph(t))
+
+
+def _ports(t: Tables) -> DataFrame:
+    """Docks whose ports name their nodes, but for those of every fifth word."""
+    own = export.ports_with_nodes(t.docks, t.nodes)
+    return own.withColumn("ports", F.transform("ports", lambda p: p.withField("node_id", F.when(F.col("word_id") % 5 != 0, p["node_id"]))))
+
+
+@query(f"WITH {_DOCKS} SELECT DISTINCT word_id FROM pt WHERE word_id % 5 = 0")
+def ports_carry_nodes(t: Tables) -> DataFrame:
+    return quality.ports_without_node(_ports(t))
+
+
+@query("SELECT page_num, CASE WHEN page_num % 5 = 0 THEN 'missing' ELSE 'size' END AS kind FROM pg WHERE page_num % 5 = 0 OR page_num % 7 = 0 OR height_px <> 2100")
+def images_exist(t: Tables) -> DataFrame:
+    images = t.pages.where("page_num % 5 <> 0").select("page_num", (F.col("width_px") - (F.col("page_num") % 7 == 0).cast("int")).alias("width"), F.lit(2100).alias("height"))
+    return quality.missing_images(t.pages, images)
+
+
+@query(f"""
+    WITH {_DOCKS}, fd AS (SELECT * REPLACE (CASE WHEN id % 11 <> 0 THEN pos END AS pos) FROM feat), {_NUMBERS.replace('(page_num // 100000)', 'page_num')},
+    rt AS (SELECT count(*) FILTER (numbered AND matched) / greatest(count(*) FILTER (numbered), 1)::DOUBLE AS rate FROM hn)
     SELECT 'pages exist' AS name, count(*) = 0 AS ok, count(*) AS failures FROM corr ANTI JOIN pg USING (page_num)
     UNION ALL SELECT 'canonical size', count(*) = 0, count(*) FROM pg WHERE width_px <> 1400 OR height_px <> 2100
+    UNION ALL SELECT 'images match', count(*) = 0, count(*) FROM pg WHERE page_num % 5 = 0 OR page_num % 7 = 0 OR height_px <> 2100
     UNION ALL SELECT 'no orphan words', count(*) = 0, count(*) FROM words ANTI JOIN pg USING (page_num)
-    UNION ALL SELECT 'features complete', true, 0
+    UNION ALL SELECT 'features complete', count(*) = 0, count(*) FROM fd WHERE pos IS NULL OR lemma IS NULL OR frequency IS NULL OR rarity IS NULL OR is_content IS NULL OR is_connective IS NULL
     UNION ALL SELECT 'boxes in bounds', count(*) = 0, count(*) FROM words JOIN pg USING (page_num) WHERE bbox_x0 < 0 OR bbox_y0 < 0 OR bbox_x1 > width_px OR bbox_y1 > height_px OR bbox_x0 >= bbox_x1 OR bbox_y0 >= bbox_y1
-    UNION ALL SELECT 'gutters present', count(*) = 0, count(*) FROM corr ANTI JOIN hg USING (page_num)""")
+    UNION ALL SELECT 'gutters present', count(*) = 0, count(*) FROM corr ANTI JOIN hg USING (page_num)
+    UNION ALL SELECT 'docks present', count(*) = 0, count(*) FROM (SELECT DISTINCT page_num FROM words WHERE page_num % 13 = 0)
+    UNION ALL SELECT 'ports have nodes', count(*) = 0, count(*) FROM (SELECT DISTINCT word_id FROM pt WHERE word_id % 5 = 0)
+    UNION ALL SELECT 'header numbers', count(*) = 0, count(*) FROM hn, rt WHERE numbered AND NOT matched AND rate < 0.85""")
 def check_report(t: Tables) -> DataFrame:
-    return quality.report({"pages exist": quality.pages_without_row(t.corrections, t.pages), "canonical size": quality.wrong_sizes(t.pages), "no orphan words": quality.orphan_words(t.words, t.pages), "features complete": quality.incomplete_features(t.feat), "boxes in bounds": quality.bad_boxes(t.words, t.pages), "gutters present": quality.graphless(t.corrections, t.gutters)})
+    """Ten checks on pages with planted faults."""
+    words = keep(t.feat)
+    pages, corrections = keep(typeset.page_table(words)), keep(typeset.corrections(words))
+    images = pages.where("page_num % 5 <> 0").select("page_num", (F.col("width_px") - (F.col("page_num") % 7 == 0).cast("int")).alias("width"), F.lit(2100).alias("height"))
+    faulty = words.withColumn("pos", F.when(F.col("id") % 11 != 0, F.col("pos")))
+    return quality.report({
+        "pages exist": quality.pages_without_row(corrections, pages), "canonical size": quality.wrong_sizes(pages), "images match": quality.missing_images(pages, images), "no orphan words": quality.orphan_words(words, pages),
+        "features complete": quality.incomplete_features(faulty), "boxes in bounds": quality.bad_boxes(words, pages), "gutters present": quality.graphless(corrections, t.gutters),
+        "docks present": quality.dockless(words, t.docks.where("page_num % 13 <> 0")), "ports have nodes": quality.ports_without_node(_ports(t)), "header numbers": quality.poorly_numbered(words),
+    })
+
+
+# --- units, dashes, canvases, overlays ---
+
+
+@query("SELECT id, round_even(x * 1400, 0)::INT AS x0, round_even((1 - y - h) * 2100, 0)::INT AS y0, round_even((x + w) * 1400, 0)::INT AS x1, round_even((1 - y) * 2100, 0)::INT AS y1 FROM (SELECT id, bbox_x0 / 1400.0::DOUBLE AS x, bbox_y0 / 2100.0::DOUBLE AS y, conf / 9.0::DOUBLE AS w, conf / 31.0::DOUBLE AS h FROM words)")
+def bottom_left_boxes(t: Tables) -> DataFrame:
+    x, y, w, h = F.col("bbox_x0") / 1400.0, F.col("bbox_y0") / 2100.0, F.col("conf") / 9.0, F.col("conf") / 31.0
+    return t.words.select("id", columns.bottom_left_box(x, y, w, h, F.lit(1400), F.lit(2100)).alias("b")).select("id", "b.*")
+
+
+@query("""
+    WITH p AS (SELECT id, bbox_x0 AS x0, bbox_x1 AS x1, unnest(t) AS text, generate_subscripts(t, 1) - 1 AS place FROM (SELECT id, bbox_x0, bbox_x1, [left(text, 1), '—', text, '–', left(text, 2)] AS t FROM words)),
+    w AS (SELECT *, CASE text WHEN '—' THEN 2.5 WHEN '–' THEN 2.0 ELSE length(text) END::DOUBLE AS w FROM p WHERE NOT regexp_matches(text, '.[—–]|[—–].')),
+    s AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(w) OVER (PARTITION BY id) AS whole, count(*) OVER (PARTITION BY id) AS k FROM w)
+    SELECT id, place::INT AS place, text, round_even(x0 + (x1 - x0) * before / whole, 0)::INT AS x0, round_even(x0 + (x1 - x0) * (before + w) / whole, 0)::INT AS x1 FROM s WHERE k = 5""")
+def dash_weighted_bbox(t: Tables) -> DataFrame:
+    """Boxes shared out with dashes of 2.5 and 2; words that hold dashes themselves are left to dash_split."""
+    pieces = F.array(F.substring("text", 1, 1), F.lit("—"), F.col("text"), F.lit("–"), F.substring("text", 1, 2))
+    own = t.words.where(~F.col("text").rlike("[—–]"))
+    return own.select("id", F.posexplode(tokens.dash_shares(pieces, F.col("bbox_x0"), F.col("bbox_x1"))).alias("place", "b")).select("id", "place", "b.*")
+
+
+@query(f"WITH {_PIX} SELECT page_num, y + page_num % 3 - 1 AS y, x + page_num % 5 - 2 AS x, value FROM px WHERE y + page_num % 3 - 1 BETWEEN 0 AND 19 AND x + page_num % 5 - 2 BETWEEN 0 AND 8")
+def pasted_images(t: Tables) -> DataFrame:
+    offsets = t.pixels.select("page_num").distinct().select("page_num", (F.col("page_num") % 5 - 2.2).cast("double").alias("dx"), (F.col("page_num") % 3 - 0.8).cast("double").alias("dy"))
+    own = raster.pasted(t.pixels, offsets, 9, 20)
+    return own.select("page_num", F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), "value")
+
+
+@query(f"""
+    WITH {_PIX}, f AS (SELECT page_num, y, x, floor(value + (244 - value) * 0.62::DOUBLE)::INT AS v FROM px),
+    a AS (SELECT *, CASE WHEN (x + y) % 2 = 0 THEN round_even((40 * 200 + v * 55) / 255.0::DOUBLE, 0)::INT ELSE v END AS v1 FROM f)
+    SELECT page_num, y, x, CASE WHEN (x + y) % 4 = 0 THEN round_even((210 * 90 + v1 * 165) / 255.0::DOUBLE, 0)::INT ELSE v1 END AS value FROM a""")
+def layered_images(t: Tables) -> DataFrame:
+    own = t.pixels.select("page_num", "y", "x")
+    first = own.where((F.col("x") + F.col("y")) % 2 == 0).select("*", F.lit(0).alias("layer"), F.lit(40).alias("colour"), F.lit(200).alias("alpha"))
+    second = own.where((F.col("x") + F.col("y")) % 4 == 0).select("*", F.lit(1).alias("layer"), F.lit(210).alias("colour"), F.lit(90).alias("alpha"))
+    return raster.layered(t.pixels, second.unionAll(first))
 
 
 # --- the same operators on the star schema ---

@@ -61,5 +61,5 @@ def check(documents: DataFrame, pages: list[int] | None = None) -> DataFrame:
     return quality.report({
         "pages exist": quality.pages_without_row(corrections, table), "canonical size": quality.wrong_sizes(table), "no orphan words": quality.orphan_words(words, table),
         "features complete": quality.incomplete_features(words), "boxes in bounds": quality.bad_boxes(words, table), "graph present": quality.graphless(corrections, air.graph),
-        "graph has edges": quality.edgeless(air.graph), "docks present": quality.dockless(words, air.docks), "ports have nodes": quality.ports_without_node(air.docks),
+        "graph has edges": quality.edgeless(air.graph), "docks present": quality.dockless(words, air.docks), "ports have nodes": quality.ports_without_node(air.docks), "header numbers": quality.poorly_numbered(words),
     })

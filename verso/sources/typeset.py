@@ -6,13 +6,18 @@ shuffle; page_num is the key of everything that follows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..keep import keep
+
 PER_LINE, LINES, WIDTH, HEIGHT = 10, 40, 1400, 2100
 SPACE = r"[ \t\n\r\f\x0B]+"
 CORE = r"^([^\p{L}\p{N}&]*)(.*?)([^\p{L}\p{N}&]*)$"
 
+#: Derived: the words below by their part of speech, and nothing else, as the rule tagger has them.
 DET = ("the", "a", "an", "this", "that")
 ADP = ("of", "in", "with", "for", "from", "by", "at", "on", "to")
 PRON = ("it", "its", "he", "she", "they", "who", "which")
@@ -28,6 +33,10 @@ CONNECTIVE_WORDS = (
 )
 
 
+#: Lemmas that are broadcast at most: a frequency above LEAST_FREQUENCY can't be that of more, and rarity ends there.
+LEAST_FREQUENCY, MOST_LEMMAS = 1e-6, 1_000_000
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -84,13 +93,41 @@ def rarity(frequency: Column) -> Column:
     return F.when(frequency <= 0, 6.0).otherwise(F.least(F.lit(6.0), -F.log10(frequency)))
 
 
-def features(words_: DataFrame) -> DataFrame:
-    """words with pos, lemma, frequency (in this corpus), rarity, is_content and is_connective."""
-    low = F.lower("text")
-    counts = words_.groupBy(low.alias("lemma")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    rated = counts.crossJoin(F.broadcast(total)).select("lemma", (F.col("n") / F.col("total")).alias("frequency"))
-    out = words_.withColumn("lemma", low).join(rated, "lemma").withColumn("pos", part_of_speech(F.col("text"), F.col("w") % PER_LINE == 0))
+Tagger = Callable[[Column, Column], tuple[Column, Column]]
+
+
+def by_rules(text: Column, first: Column) -> tuple[Column, Column]:
+    """The tagger that needs no model: part of speech by rules, and the word in lower case as its lemma."""
+    return part_of_speech(text, first), F.lower(text)
+
+
+def frequencies(words_: DataFrame, tagger: Tagger = by_rules) -> DataFrame:
+    """(lemma, frequency) in this corpus."""
+    _, lemma = tagger(F.col("text"), F.col("w") % PER_LINE == 0)
+    counts = keep(words_.groupBy(lemma.alias("lemma")).agg(F.count("*").alias("n")))
+    (total,) = counts.agg(F.sum("n")).first()
+    return counts.select("lemma", (F.col("n") / F.lit(total).cast("long")).alias("frequency"))
+
+
+def features(words_: DataFrame, tagger: Tagger = by_rules, known: DataFrame | None = None) -> DataFrame:
+    """words with pos, lemma, frequency, rarity, is_content and is_connective.
+
+    tagger makes (pos, lemma) columns of (text, whether it is a line's first), for instance with a
+    pandas UDF around a model; known is a table (lemma, frequency), by default that of this corpus.
+    Words that known lacks have frequency 0. Lemmas of a frequency above LEAST_FREQUENCY, of which
+    there can't be over 1 / LEAST_FREQUENCY, are broadcast, so that no task gets all of a common word's rows;
+    where there are others, only their rows are shuffled.
+    """
+    rated = keep(frequencies(words_, tagger) if known is None else known.select("lemma", "frequency"))
+    pos, lemma = tagger(F.col("text"), F.col("w") % PER_LINE == 0)
+    out = words_.withColumn("lemma", lemma).withColumn("pos", pos)
+    if rated.limit(MOST_LEMMAS + 1).count() <= MOST_LEMMAS:
+        out = out.join(F.broadcast(rated), "lemma", "left")
+    else:
+        common = out.join(F.broadcast(rated.where(F.col("frequency") > LEAST_FREQUENCY)), "lemma", "left")
+        rest = common.where("frequency is null").drop("frequency").join(rated.where(F.col("frequency") <= LEAST_FREQUENCY), "lemma", "left")
+        out = common.where("frequency is not null").unionByName(rest)
+    out = out.withColumn("frequency", F.coalesce("frequency", F.lit(0.0)))
     return out.select(
         *words_.columns, "pos", "lemma", "frequency", F.round(rarity(F.col("frequency")), 4).alias("rarity"),
         F.col("pos").isin(*CONTENT).cast("int").alias("is_content"),
