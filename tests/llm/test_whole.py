@@ -1,5 +1,8 @@
 """The corpus operators do the whole job where links, rows and runs used to be lost."""
 
+import numpy as np
+import pytest
+
 from verso.llm import jaccard_join, sentence_spans, url_aliases
 
 
@@ -58,3 +61,47 @@ def test_one_row_of_each_group(spark):
     tags = {r["tag"] for r in kept.collect()}
     assert kept.count() == len(tags) == len(groups) and all(len(tags & g) == 1 for g in groups)
     assert tags & {"a", "e"} and "b" in tags
+
+
+@pytest.mark.parametrize("block", [12, 100, 1024])
+def test_links_of_a_long_chain(spark, monkeypatch, block):
+    """Texts that drift, so that each resembles only those near it: verified whole, in blocks and by bucket."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    words = [f"w{i}" for i in range(1600)]
+    rows = [(str(i), " ".join(words[2 * i : 2 * i + 120])) for i in range(700)] + [("x" + str(i), " ".join([*words[:80:-1], f"e{i}"])) for i in range(9)]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    near = {i: [j for j in sets if i != j and (i[0] == j[0] == "x" or "x" not in i + j and abs(int(i) - int(j)) < 60)] for i in sets}  # others share no run
+    links = {i: sum(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in near[i]) for i in sets}
+    ways = []
+    verify = jaccard_join._met
+    monkeypatch.setattr(jaccard_join, "_met", lambda rows: (ways.append(rows.select("band").distinct().collect()) if "shingles" in rows.columns else None) or verify(rows))
+    got = jaccard_join.similar_groups(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == links and max(links.values()) < 20
+    assert {r["class_id"] for r in got} == {"0", "x0"}
+    assert (max(r["band"] for r in ways[0]) >= 0) == (block < 1024) and min(r["band"] for r in ways[0]) == -1
+
+
+def test_near_copies_at_the_threshold_are_found(spark):
+    """Recall against brute force for pairs of a similarity of 0.8 to 0.9, and none below."""
+    rng = np.random.default_rng(9)
+    rows, want = [], set()
+    for i in range(300):
+        base = [f"b{i}x{k}" for k in range(150)]
+        other = list(base)
+        for k in rng.choice(150, int(rng.integers(2, 5)), replace=False):
+            other[k] = f"c{i}x{k}"
+        a, b = ({tuple(w[k : k + 5]) for k in range(146)} for w in (base, other))
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+        if len(a & b) >= 0.8 * len(a | b):
+            want.add(2 * i)
+    got = {r["doc_id"] for r in jaccard_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["n_links"] and r["doc_id"] % 2 == 0}
+    assert got == want and 30 < len(want) < 290
+
+
+def test_copies_and_their_links(spark):
+    """Copies count as links of each other, other texts of a group with all their documents."""
+    near = " ".join(f"n{k}" for k in range(100))
+    rows = [(i, f"alone{i} " * 30) for i in range(6)] + [(10, near), (11, near + " end"), (12, near)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = {r["doc_id"]: (r["class_id"], r["n_copies"], r["n_links"]) for r in jaccard_join.similar_groups(frame).collect()}
+    assert seen == {**{i: (i, 1, 0) for i in range(6)}, 10: (10, 2, 2), 11: (10, 1, 2), 12: (10, 2, 2)}
