@@ -64,23 +64,29 @@ def river_scores(slits: DataFrame, reach: float = 4.0) -> DataFrame:
     return slits.join(best, ["page_num", "gutter_id"], "left").withColumn("river_score", F.coalesce("river_score", F.lit(0.0)))
 
 
-def _nearest(words: DataFrame, low: str, high: str, near: str, far: str) -> DataFrame:
-    """Per id the least distances to words whose [low, high] overlaps its own, before near and after far."""
-    tiles = lambda: F.explode(F.sequence(F.floor(F.col(low) / TILE), F.floor(F.col(high) / TILE)))
-    own = words.select("page_num", "id", low, high, near, far, tiles().alias("t"))
-    other = words.select("page_num", F.col("id").alias("o"), F.col(low).alias("ol"), F.col(high).alias("oh"), F.col(near).alias("on"), F.col(far).alias("of"), tiles().alias("t"))
-    met = own.join(other, ["page_num", "t"]).where((F.col("id") != F.col("o")) & (F.col("oh") >= F.col(low)) & (F.col("ol") <= F.col(high)))
-    return met.groupBy("id").agg(F.min(F.when(F.col("of") <= F.col(near), F.col(near) - F.col("of"))).alias("before"), F.min(F.when(F.col("on") >= F.col(far), F.col("on") - F.col(far))).alias("after"))
+#: Of a word's box, for either axis: its range across, and its near and far edge.
+_AXES = (("bbox_x0", "bbox_x1", "bbox_y0", "bbox_y1"), ("bbox_y0", "bbox_y1", "bbox_x0", "bbox_x1"))
+_BOX = ("bbox_x0", "bbox_y0", "bbox_x1", "bbox_y1")
 
 
 def breathing(words: DataFrame, bodies: DataFrame) -> DataFrame:
-    """(page_num, id, top, bottom, left, right): distance to the nearest word in each direction, or to the body's edge; 0 at least."""
-    vertical = _nearest(words, "bbox_x0", "bbox_x1", "bbox_y0", "bbox_y1").select("id", F.col("before").alias("above"), F.col("after").alias("below"))
-    level = _nearest(words, "bbox_y0", "bbox_y1", "bbox_x0", "bbox_x1").select("id", F.col("before").alias("west"), F.col("after").alias("east"))
+    """(page_num, id, top, bottom, left, right): distance to the nearest word in each direction, or to the body's edge; 0 at least.
+
+    Both axes go through one join on tiles, in which a word also meets itself and so stays.
+    """
+    sides = F.array(*(F.struct(F.lit(k).alias("axis"), *(F.col(c).alias(n) for c, n in zip(axis, ("low", "high", "near", "far"), strict=True))) for k, axis in enumerate(_AXES)))
+    tiled = words.select("page_num", "id", *_BOX, F.inline(sides)).withColumn("t", F.explode(F.sequence(F.floor(F.col("low") / TILE), F.floor(F.col("high") / TILE))))
+    other = tiled.select("page_num", "axis", "t", F.col("id").alias("o"), *(F.col(c).alias("o_" + c) for c in ("low", "high", "near", "far")))
+    met = tiled.join(other, ["page_num", "axis", "t"]).where((F.col("o_high") >= F.col("low")) & (F.col("o_low") <= F.col("high")))
+
+    def least(axis: int, gap: Column) -> Column:
+        return F.min(F.when((F.col("axis") == axis) & (F.col("id") != F.col("o")) & (gap >= 0), gap))
+
+    before, after = F.col("near") - F.col("o_far"), F.col("o_near") - F.col("far")
+    found = met.groupBy("page_num", "id", *_BOX).agg(least(0, before).alias("above"), least(0, after).alias("below"), least(1, before).alias("west"), least(1, after).alias("east"))
     b = bodies.select("page_num", *(F.col(c).alias("b" + c) for c in ("x0", "y0", "x1", "y1")))
-    all_ = words.select("page_num", "id", "bbox_x0", "bbox_y0", "bbox_x1", "bbox_y1").join(b, "page_num").join(vertical, "id", "left").join(level, "id", "left")
-    least = lambda edge, found: F.greatest(F.lit(0.0), F.least(edge, F.coalesce(found, edge))).cast("double")
-    return all_.select("page_num", "id", least(F.col("bbox_y0") - F.col("by0"), F.col("above")).alias("top"), least(F.col("by1") - F.col("bbox_y1"), F.col("below")).alias("bottom"), least(F.col("bbox_x0") - F.col("bx0"), F.col("west")).alias("left"), least(F.col("bx1") - F.col("bbox_x1"), F.col("east")).alias("right"))
+    room = lambda edge, gap: F.greatest(F.lit(0.0), F.least(edge, F.coalesce(gap, edge))).cast("double")
+    return found.join(b, "page_num").select("page_num", "id", room(F.col("bbox_y0") - F.col("by0"), F.col("above")).alias("top"), room(F.col("by1") - F.col("bbox_y1"), F.col("below")).alias("bottom"), room(F.col("bbox_x0") - F.col("bx0"), F.col("west")).alias("left"), room(F.col("bx1") - F.col("bbox_x1"), F.col("east")).alias("right"))
 
 
 def slack_direction(top: Column, bottom: Column, left: Column, right: Column) -> Column:
@@ -90,26 +96,34 @@ def slack_direction(top: Column, bottom: Column, left: Column, right: Column) ->
     return F.when(first["v"] <= 0, "").when((second["v"] > 0) & (first["v"] < 1.3 * second["v"]), "").otherwise(first["c"])
 
 
-def dock_lines(words: DataFrame, gutters: DataFrame) -> DataFrame:
-    """(id, dock_above, dock_below): the gutters that border the word's line."""
+def _bordered(words: DataFrame, gutters: DataFrame) -> DataFrame:
     above = gutters.where("line_idx_b is not null").select("page_num", F.col("line_idx_b").alias("line_idx"), F.col("gutter_id").alias("dock_above"))
     below = gutters.where("line_idx_a is not null").select("page_num", F.col("line_idx_a").alias("line_idx"), F.col("gutter_id").alias("dock_below"))
-    return words.select("id", "page_num", "line_idx").join(above, ["page_num", "line_idx"], "left").join(below, ["page_num", "line_idx"], "left").select("id", "dock_above", "dock_below")
+    return words.join(above, ["page_num", "line_idx"], "left").join(below, ["page_num", "line_idx"], "left")
+
+
+def _between_slits(words: DataFrame, slits: DataFrame) -> DataFrame:
+    """words with dock_left and dock_right; grouped by all their columns, which leaves them where the join on lines put them."""
+    s = slits.select("page_num", F.col("line_idx_a").alias("line_idx"), F.col("gutter_id").alias("__g"), F.col("x0").alias("__x0"), F.col("x1").alias("__x1"))
+    left, right = F.col("bbox_x0") - F.col("__x1"), F.col("__x0") - F.col("bbox_x1")
+    pick = lambda d: F.min(F.when(d >= 0, F.struct(d.alias("d"), F.col("__g").alias("g"))))["g"]
+    return words.join(s, ["page_num", "line_idx"], "left").groupBy(*words.columns).agg(pick(left).alias("dock_left"), pick(right).alias("dock_right"))
+
+
+def dock_lines(words: DataFrame, gutters: DataFrame) -> DataFrame:
+    """(id, dock_above, dock_below): the gutters that border the word's line."""
+    return _bordered(words.select("id", "page_num", "line_idx"), gutters).select("id", "dock_above", "dock_below")
 
 
 def nearest_slits(words: DataFrame, slits: DataFrame) -> DataFrame:
     """(id, dock_left, dock_right): the nearest slit of the line on either side; of equally near ones the first."""
-    s = slits.select("page_num", F.col("line_idx_a").alias("line_idx"), "gutter_id", F.col("x0").alias("sx0"), F.col("x1").alias("sx1"))
-    met = words.select("id", "page_num", "line_idx", "bbox_x0", "bbox_x1").join(s, ["page_num", "line_idx"], "left")
-    left, right = F.col("bbox_x0") - F.col("sx1"), F.col("sx0") - F.col("bbox_x1")
-    pick = lambda d: F.min(F.when(d >= 0, F.struct(d.alias("d"), F.col("gutter_id").alias("g"))))["g"]
-    return met.groupBy("id").agg(pick(left).alias("dock_left"), pick(right).alias("dock_right"))
+    return _between_slits(words.select("page_num", "line_idx", "id", "bbox_x0", "bbox_x1"), slits).select("id", "dock_left", "dock_right")
 
 
 def docks(words: DataFrame, bodies: DataFrame, gutters: DataFrame, slits: DataFrame) -> DataFrame:
     """The word_docks table, ports without node ids: docks, breathing, slack_direction and ports N, S, W, E where there is a dock."""
-    air = breathing(words, bodies).withColumnRenamed("page_num", "p")
-    all_ = words.join(dock_lines(words, gutters), "id").join(nearest_slits(words, slits), "id").join(air, "id")
+    own = _between_slits(_bordered(words.select("page_num", "line_idx", "id", *_BOX), gutters), slits)
+    all_ = own.join(breathing(words, bodies), ["page_num", "id"])
     cx, cy = (F.col("bbox_x0") + F.col("bbox_x1")) / 2, (F.col("bbox_y0") + F.col("bbox_y1")) / 2
     step = lambda c: F.least(F.col(c) * 0.5, F.lit(15.0))
 

@@ -576,6 +576,8 @@ _CHUNKS = f"""
                         + [0.0, 0.7, 0.6, 0.2][any_value(n)]::DOUBLE + CASE WHEN max_by(pos, o) IN ('NOUN', 'PROPN') THEN 0.4::DOUBLE ELSE 0 END ELSE -999.0 END, 4) AS score FROM cw GROUP BY page_num, run, start),
     co AS (SELECT *, (row_number() OVER (PARTITION BY page_num ORDER BY run, start) - 1)::INT AS ordinal FROM cs)"""
 
+_IMUL = lambda a, b: f"((({a}) & 65535) * ({b}) + (((((({a}) >> 16) & 65535) * ({b})) & 65535) << 16)) & 4294967295"
+
 
 @query(f"WITH RECURSIVE {_CHUNKS} SELECT page_num, ordinal, line_idx, x0, text, n FROM co")
 def chunks_np_vp(t: Tables) -> DataFrame:
@@ -597,7 +599,19 @@ def select_chunks(t: Tables) -> DataFrame:
     return chunks.select(t.scored).select("page_num", "rank", "line_idx", "x0", "text")
 
 
-@query()
+@query(f"""
+    WITH RECURSIVE {_CHUNKS}, ok AS (SELECT page_num, ordinal, line_idx, x0, text, score, row_number() OVER (PARTITION BY page_num ORDER BY score DESC, ordinal) AS r FROM co WHERE score > -100 QUALIFY r <= 12),
+    dw AS (SELECT k, xor(r3, r3 >> 14) / 4294967296.0::DOUBLE AS d FROM (SELECT k, xor(r, (r + ({_IMUL('xor(r, r >> 7)', '(r | 61)')})) & 4294967295) AS r3 FROM
+           (SELECT k, {_IMUL('xor(t, t >> 15)', '(t | 1)')} AS r FROM (SELECT k, (42000 + k * 1831565813) & 4294967295 AS t FROM (SELECT unnest(range(1, 12)) AS k))))),
+    sh AS (SELECT m, 0 AS k, range(1, m + 1) AS a FROM (SELECT unnest(range(1, 13)) AS m)
+           UNION ALL SELECT m, sh.k + 1, list_transform(a, lambda v, p: CASE p WHEN m - sh.k THEN a[floor(d * (m - sh.k))::INT + 1] WHEN floor(d * (m - sh.k))::INT + 1 THEN a[m - sh.k] ELSE v END) FROM sh JOIN dw ON dw.k = sh.k + 1 WHERE sh.k < m - 1),
+    pm AS (SELECT m, unnest(a) AS r, generate_subscripts(a, 1) AS s FROM sh WHERE k = m - 1),
+    sz AS (SELECT page_num, count(*) AS m FROM ok GROUP BY page_num),
+    mx AS MATERIALIZED (SELECT ok.* EXCLUDE (r), s AS r FROM ok JOIN sz USING (page_num) JOIN pm ON pm.m = sz.m AND pm.r = ok.r),
+    p1 AS (SELECT page_num, min(r) AS r FROM mx GROUP BY page_num), l1 AS (SELECT mx.* FROM mx JOIN p1 USING (page_num, r)),
+    p2 AS (SELECT mx.page_num, min(mx.r) AS r FROM mx JOIN l1 ON l1.page_num = mx.page_num AND abs(mx.line_idx - l1.line_idx) >= 2 GROUP BY mx.page_num), l2 AS (SELECT mx.* FROM mx JOIN p2 USING (page_num, r)),
+    p3 AS (SELECT mx.page_num, min(mx.r) AS r FROM mx JOIN l1 ON l1.page_num = mx.page_num AND abs(mx.line_idx - l1.line_idx) >= 2 JOIN l2 ON l2.page_num = mx.page_num AND abs(mx.line_idx - l2.line_idx) >= 2 GROUP BY mx.page_num), l3 AS (SELECT mx.* FROM mx JOIN p3 USING (page_num, r))
+    SELECT page_num, (row_number() OVER (PARTITION BY page_num ORDER BY line_idx, x0) - 1)::INT AS rank, line_idx, x0, text, score FROM (FROM l1 UNION ALL FROM l2 UNION ALL FROM l3)""")
 def select_chunks_shuffled(t: Tables) -> DataFrame:
     return chunks.select(t.scored, variation=1)
 
@@ -692,7 +706,6 @@ def flow_walk(t: Tables) -> DataFrame:
 
 # --- geometry ---
 
-_IMUL = lambda a, b: f"((({a}) & 65535) * ({b}) + (((((({a}) >> 16) & 65535) * ({b})) & 65535) << 16)) & 4294967295"
 
 
 def _lattice_sql(i: str, seed: int) -> str:
@@ -720,10 +733,21 @@ def mulberry32(t: Tables) -> DataFrame:
     return t.read("orders").select("o_orderkey", F.round(noise.draw(F.lit(42000), F.col("o_orderkey") % 100000), 9).alias("draw"))
 
 
-@query()
+def _low_sql(x: str) -> str:
+    return f"(CASE WHEN ({x}) % 4294967296.0::DOUBLE < 0 THEN ({x}) % 4294967296.0::DOUBLE + 4294967296.0::DOUBLE ELSE ({x}) % 4294967296.0::DOUBLE END::BIGINT & 4294967295)"
+
+
+@query(f"""
+    WITH g AS (SELECT id, floor(x) AS i, floor(y) AS j, x - floor(x) AS fx, y - floor(y) AS fy FROM (SELECT id, bbox_x0 * 0.07::DOUBLE AS x, bbox_y0 * 0.07::DOUBLE AS y FROM words)),
+    e AS (SELECT id, i, j, fx * fx * (3 - 2 * fx) AS u, fy * fy * (3 - 2 * fy) AS v FROM g),
+    c AS (SELECT DISTINCT i + di AS i, j + dj AS j FROM e, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) k(di, dj)),
+    m AS (SELECT i, j, {_low_sql("(i * 374761393.0::DOUBLE + j * 668265263.0::DOUBLE + 11) * 1274126177.0::DOUBLE")} AS a FROM c),
+    o AS (SELECT i, j, {_low_sql("(((xor(a, a >> 13) + 2147483648) & 4294967295) - 2147483648)::DOUBLE * 1274126177.0::DOUBLE")} AS b FROM m),
+    l AS MATERIALIZED (SELECT i, j, (xor(b, b >> 16) & 16777215) / 16777215.0::DOUBLE * 2 - 1 AS h FROM o)
+    SELECT id, round((p.h * (1 - u) + q.h * u) * (1 - v) + (r.h * (1 - u) + s.h * u) * v, 6) AS noise
+    FROM e JOIN l p ON p.i = e.i AND p.j = e.j JOIN l q ON q.i = e.i + 1 AND q.j = e.j JOIN l r ON r.i = e.i AND r.j = e.j + 1 JOIN l s ON s.i = e.i + 1 AND s.j = e.j + 1""")
 def noise2d(t: Tables) -> DataFrame:
-    at = F.pandas_udf(lambda x, y: x.astype("float64") * 0 + noise.noise_2d(x * 0.07, y * 0.07, 11), "double")
-    return t.words.select("id", F.round(at(F.col("bbox_x0"), F.col("bbox_y0")), 6).alias("noise"))
+    return t.words.select("id", F.round(noise.noise2(F.col("bbox_x0") * 0.07, F.col("bbox_y0") * 0.07, F.lit(11)), 6).alias("noise"))
 
 
 @query(f"""
@@ -803,13 +827,28 @@ def _line_boxes(t: Tables) -> DataFrame:
     return whitespace.line_extents(t.boxes).select("page_num", "line_idx", "x0", "y0", "x1", "y1")
 
 
-@query()
+@query(f"""
+    WITH a AS (SELECT page_num, line_idx, x0 - 6.0::DOUBLE AS x0, y0 - 6.0::DOUBLE AS y0, x1 + 6.0::DOUBLE AS x1, y1 + 6.0::DOUBLE AS y1 FROM ln),
+    b AS (SELECT *, (y0 + y1) / 2 AS cy, 0.55::DOUBLE * (y1 - y0) AS reach FROM a),
+    c AS MATERIALIZED (SELECT *, x0 - reach AS l, x1 + reach AS r, greatest(1, floor((x1 + reach - (x0 - reach)) / 4 + 0.5::DOUBLE))::INT AS n FROM b),
+    lat AS MATERIALIZED (SELECT i, {_lattice_sql("i", 0)} AS h FROM (SELECT unnest(range((SELECT (max(x1 - x0) * 0.03::DOUBLE)::BIGINT + 200 FROM c))) AS i)),
+    e AS (SELECT page_num, line_idx, x0, 2 + k AS place, l + (r - l) * k / n AS x, y0 AS y, 0 AS phase FROM (SELECT *, unnest(range(1, n)) AS k FROM c)
+          UNION ALL SELECT page_num, line_idx, x0, 4 + n + k, r + (l - r) * k / n, y1, 100 FROM (SELECT *, unnest(range(1, n)) AS k FROM c)),
+    f AS (SELECT *, floor(z) AS i, z - floor(z) AS t FROM (SELECT *, abs(x - x0) * 0.03::DOUBLE + phase AS z FROM e)),
+    w AS (SELECT page_num, line_idx, place, x, y + ((p.h * (1 - t * t * (3 - 2 * t)) + q.h * (t * t * (3 - 2 * t))) * 2 - 1) * 1.2::DOUBLE AS y FROM f JOIN lat p ON p.i = f.i::BIGINT JOIN lat q ON q.i = f.i::BIGINT + 1),
+    pt AS (FROM w UNION ALL SELECT page_num, line_idx, v.place, v.x, v.y FROM (SELECT page_num, line_idx, unnest([
+            {{'place': 0, 'x': l, 'y': y1}}, {{'place': 1, 'x': l + 0.65::DOUBLE * reach, 'y': cy}}, {{'place': 2, 'x': l, 'y': y0}},
+            {{'place': n + 2, 'x': r, 'y': y0}}, {{'place': n + 3, 'x': r - 0.65::DOUBLE * reach, 'y': cy}}, {{'place': n + 4, 'x': r, 'y': y1}}]) AS v FROM c)),
+    o AS (SELECT page_num, line_idx, x, y, lead(x) OVER p AS x2, lead(y) OVER p AS y2, first_value(x) OVER p AS fx, first_value(y) OVER p AS fy FROM pt WINDOW p AS (PARTITION BY page_num, line_idx ORDER BY place))
+    SELECT page_num, line_idx, count(*)::INT AS n_points, round(sum(x * coalesce(y2, fy) - coalesce(x2, fx) * y) / 2, 2) AS area FROM o GROUP BY page_num, line_idx""")
 def banner(t: Tables) -> DataFrame:
     one = lambda r: outlines.banner((r["x0"], r["y0"], r["x1"], r["y1"]))
     return outlines.drawn(_line_boxes(t), outlines.POINTS, one, "points").select("page_num", "line_idx", F.size("points").alias("n_points"), F.round(geometry.polygon_area(F.col("points")), 2).alias("area"))
 
 
-@query()
+@query("""
+    WITH l AS (SELECT page_num, x1 - lag(x1) OVER p AS dx, y1 - lag(y1) OVER p AS dy FROM ln WINDOW p AS (PARTITION BY page_num ORDER BY line_idx))
+    SELECT page_num, (2 * (sum(greatest(2, ceil(sqrt(dx * dx + dy * dy) / 8))) + 1))::INT AS n_points FROM l WHERE dx IS NOT NULL GROUP BY page_num""")
 def channel(t: Tables) -> DataFrame:
     import numpy as np
 
