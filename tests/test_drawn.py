@@ -123,7 +123,9 @@ def test_noise(spark):
     df = spark.createDataFrame([(x,) for x in xs], "x double").select("x", noise.noise(F.col("x"), F.lit(9)).alias("n"))
     for r in df.collect():
         assert -1 <= r["n"] <= 1 and r["n"] == pytest.approx(float(noise.noise_1d(r["x"], 9)), abs=1e-12)
-    assert (np.abs(noise.noise_2d(np.array(xs), np.array(xs[::-1]), 3)) <= 1).all()
+    plane = spark.createDataFrame(list(zip(xs, xs[::-1], strict=True)), "x double, y double").select("x", "y", noise.noise2(F.col("x"), F.col("y"), F.lit(3)).alias("n"))
+    for r in plane.collect():
+        assert -1 <= r["n"] <= 1 and r["n"] == pytest.approx(float(noise.noise_2d(r["x"], r["y"], 3)), abs=1e-12)
     draws = [r["d"] for r in spark.range(1, 500).select(noise.draw(F.lit(42000), F.col("id")).alias("d")).collect()]
     assert 0 <= min(draws) < 0.05 and 0.95 < max(draws) < 1
 
@@ -154,6 +156,17 @@ def test_flow_stays_inside_and_out_of_walls():
     assert all(0 <= x <= 200 and 0 <= y <= 100 and not (90 <= x <= 110 and y <= 60) for x, y in way[:-1])
 
 
+def test_drawn_keeps_each_rows_points(spark):
+    rows = spark.createDataFrame([(i, float(i % 4)) for i in range(40)], "page_num long, n double")
+    line = lambda r: np.array([(r["page_num"], k) for k in range(int(r["n"]))])
+    got = outlines.drawn(rows, outlines.POINTS, line, "points").collect()
+    assert len(got) == 40 and all([(p["x"], p["y"]) for p in r["points"]] == [(r["page_num"], k) for k in range(r["page_num"] % 4)] for r in got)
+    some = lambda r: [np.array([(k, -1.0)] * k) for k in range(int(r["n"]))]
+    got = outlines.drawn(rows, f"array<{outlines.POINTS}>", some, "loops").collect()
+    assert all([len(x) for x in r["loops"]] == list(range(r["page_num"] % 4)) for r in got)
+    assert outlines.drawn(rows.limit(0), outlines.POINTS, line, "points").count() == 0
+
+
 def test_banner_without_wobble():
     p = outlines.banner((0, 0, 100, 20), ends=("square", "point"), wobble=0)
     assert p[:, 0].min() == -6 and p[:, 0].max() == pytest.approx(106 + 0.55 * 32) and set(np.round(p[:, 1], 6)) == {-6.0, 10.0, 26.0}
