@@ -51,6 +51,23 @@ def test_shadow_regions(spark, seed):
     assert got == want and want
 
 
+def test_shadow_edge_of_ties(spark):
+    """Sides whose means differ by exactly SHADOW_DARKER have no edge, those with a 40th more have one, in whatever order they are summed up."""
+    rng, rows = np.random.default_rng(7), []
+    for page in range(400):
+        # six places of 40ths, the one before the steepest step, three brighter ones
+        dark, bright = rng.integers(2000, 2400, 6), rng.integers(2000, 3000, 2)
+        bright = [*bright, 3 * (200 + page % 2) + int(dark.sum()) // 2 - int(bright.sum())]
+        dark[0] -= dark.sum() % 2
+        whole = [*dark, 0, *bright]
+        rows += [(page, x, float(whole[x]) / 40) for x in rng.permutation(len(whole)).tolist()]
+    profiles = spark.createDataFrame(rows, "page_num long, x int, value double").coalesce(1)
+    cuts = [r["page_num"] for r in raster.shadow_edge(profiles, "page_num", "x", "value", True).collect()]
+    assert sorted(cuts) == list(range(1, 400, 2))
+    mirrored = profiles.select("page_num", (9 - F.col("x")).alias("x"), F.when(F.col("x") == 6, 200.0).otherwise(F.col("value")).alias("value"))
+    assert sorted(r["page_num"] for r in raster.shadow_edge(mirrored, "page_num", "x", "value", False).collect()) == list(range(1, 400, 2))
+
+
 def test_rotation_and_coding(spark):
     rng = np.random.default_rng(2)
     gray = rng.integers(0, 256, (12, 15)).astype(np.uint8)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Fixed values.
 SHADOW_STEP, SHADOW_DARKER, STRIP, MARGIN = 12, 5, 100, 8
+#: Sums of the same means in another order differ by less than this, means of whole numbers that aren't equal by more.
+EXACT = 1e-9
 
 
 def ink_threshold(pixels: DataFrame) -> DataFrame:
@@ -27,7 +29,7 @@ def shadow_edge(profiles: DataFrame, key: str, at: str, value: str, low_edge: bo
     """(key, cut): place after the steepest step of a profile, where it is a shadow's edge.
 
     low_edge: place 0 is at the page's edge. The step has to be SHADOW_STEP, and the edge's side darker by over
-    SHADOW_DARKER in the mean. Profiles of under eight places have none.
+    SHADOW_DARKER in the mean, whatever order the places come in. Profiles of under eight places have none.
     """
     w = Window.partitionBy(key).orderBy(at)
     sign = 1 if low_edge else -1
@@ -37,8 +39,8 @@ def shadow_edge(profiles: DataFrame, key: str, at: str, value: str, low_edge: bo
     left = F.avg(F.when(F.col(at) < F.greatest(F.lit(1), F.col("peak")), F.col(value)))
     right = F.avg(F.when(F.col(at) > F.col("peak"), F.col(value)))
     sides = met.groupBy(key, "peak").agg(left.alias("l"), right.alias("r")).withColumn("r", F.coalesce("r", F.col("l") + 1))
-    dark = F.col("l") < F.col("r") - SHADOW_DARKER if low_edge else F.col("r") < F.col("l") - SHADOW_DARKER
-    return sides.where(dark).select(key, (F.col("peak") + 1).alias("cut"))
+    darker = F.col("r") - F.col("l") if low_edge else F.col("l") - F.col("r")
+    return sides.where(darker > SHADOW_DARKER + EXACT).select(key, (F.col("peak") + 1).alias("cut"))
 
 
 def shadow_regions(pixels: DataFrame, text: DataFrame, valid: DataFrame, strip: int = STRIP, margin: int = MARGIN) -> DataFrame:
