@@ -30,8 +30,12 @@ def orphan_words(words: DataFrame, pages: DataFrame) -> DataFrame:
     return words.join(pages, "page_num", "left_anti").select("id", "page_num")
 
 
+#: Of a word.
+INCOMPLETE = "pos is null or lemma is null or frequency is null or rarity is null or is_content is null or is_connective is null"
+
+
 def incomplete_features(words: DataFrame) -> DataFrame:
-    return words.where("pos is null or lemma is null or frequency is null or rarity is null or is_content is null or is_connective is null").select("id", "page_num")
+    return words.where(INCOMPLETE).select("id", "page_num")
 
 
 def bad_boxes(words: DataFrame, pages: DataFrame) -> DataFrame:
@@ -77,7 +81,11 @@ def rate(found: DataFrame) -> DataFrame:
 
 def poorly_numbered(words: DataFrame, least: float = 0.85) -> DataFrame:
     """The pages whose header has digits but not the page's number, where they are so many that the rate is under least."""
-    found = header_numbers(words)
+    return unmatched(header_numbers(words), least)
+
+
+def unmatched(found: DataFrame, least: float = 0.85) -> DataFrame:
+    """poorly_numbered of what header_numbers has found."""
     low = rate(found).where(F.col("rate") < least).select("rate")
     return found.where("numbered and not matched").crossJoin(F.broadcast(low)).select("page_num")
 
@@ -90,9 +98,10 @@ def missing_images(pages: DataFrame, images: DataFrame) -> DataFrame:
 
 
 def report(counts: dict[str, DataFrame]) -> DataFrame:
-    """(name, ok, failures) of each check, given the rows that break it."""
+    """(name, ok, failures) of each check, given the rows that break it; rows with failures stand for so many."""
     out = None
     for name, rows in counts.items():
-        one = rows.agg(F.count("*").alias("failures")).select(F.lit(name).alias("name"), (F.col("failures") == 0).alias("ok"), "failures")
+        many = F.coalesce(F.sum("failures"), F.lit(0)).cast("long") if "failures" in rows.columns else F.count("*")
+        one = rows.agg(many.alias("failures")).select(F.lit(name).alias("name"), (F.col("failures") == 0).alias("ok"), "failures")
         out = one if out is None else out.unionAll(one)
     return out
